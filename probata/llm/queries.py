@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, topk
+from . import langid, pieces, topk
 from .common import table
 
 
@@ -19,11 +19,15 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.held_out_identified(table(spark, sf_dir, "documents"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
-QUERIES = {"op2_pieces": op2_pieces, "op10_topk": op10_topk}
+QUERIES = {"op2_pieces": op2_pieces, "op9_langid": op9_langid, "op10_topk": op10_topk}
 
 ORACLES = {
     "op10_topk": """
