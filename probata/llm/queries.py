@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, pieces, suffixes, topk
+from . import langid, mixlm, pieces, suffixes, topk
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op3_mixlm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixlm.scored(table(spark, sf_dir, "documents"))
+
+
 def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.deduplicated(table(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
-QUERIES = {"op2_pieces": op2_pieces, "op7_suffixes": op7_suffixes, "op9_langid": op9_langid, "op10_topk": op10_topk}
+QUERIES = {"op2_pieces": op2_pieces, "op3_mixlm": op3_mixlm, "op7_suffixes": op7_suffixes, "op9_langid": op9_langid, "op10_topk": op10_topk}
 
 ORACLES = {
     "op10_topk": """
