@@ -69,16 +69,21 @@ def binaries(parts: list[bytes]) -> pa.Array:
 
 
 def gathered(batches, max_bytes: int, column: str):
-    """Joins Arrow batches until a column holds max_bytes; rows are never split."""
+    """Deals the rows of Arrow batches into tables that hold about max_bytes in a column; rows are never split."""
     held, size = [], 0
     for b in batches:
         if b.num_rows == 0:
             continue
-        held.append(b)
-        size += b.column(b.schema.get_field_index(column)).nbytes
-        if size >= max_bytes:
-            yield pa.Table.from_batches(held)
-            held, size = [], 0
+        _, offs = text_buffers(b.column(b.schema.get_field_index(column)))
+        at = 0
+        while at < b.num_rows:
+            to = max(at + 1, int(np.searchsorted(offs, offs[at] + max_bytes - size, side="right")) - 1)
+            held.append(b.slice(at, to - at))
+            size += int(offs[to] - offs[at])
+            at = to
+            if size >= max_bytes or at < b.num_rows:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
     if held:
         yield pa.Table.from_batches(held)
 
