@@ -94,8 +94,9 @@ def shingles(word: np.ndarray, text: np.ndarray, n_texts: int, width: int = 5) -
     """
     n = np.bincount(text, minlength=n_texts)
     h = np.zeros(max(0, len(word) - width + 1), U64)
+    salt = np.arange(1, width + 1, dtype=U64) * _MULT
     for k in range(width):
-        h += mix(word[k : len(word) - width + 1 + k] + U64(k + 1) * _MULT) if len(h) else h
+        h += mix(word[k : len(word) - width + 1 + k] + salt[k]) if len(h) else h
     whole = text[: len(h)] == text[width - 1 :] if len(h) else np.zeros(0, bool)
     h, t = mix(h[whole]), text[: len(whole)][whole]
     short = np.flatnonzero((n > 0) & (n < width))
@@ -104,16 +105,21 @@ def shingles(word: np.ndarray, text: np.ndarray, n_texts: int, width: int = 5) -
         s = n[short].astype(U64) * U64(0xA0761D6478BD642F)
         for k in range(width - 1):
             has = n[short] > k
-            s[has] += mix(word[begin[has] + k] + U64(k + 1) * _MULT)
+            s[has] += mix(word[begin[has] + k] + salt[k])
         h, t = np.concatenate([h, mix(s)]), np.concatenate([t, short])
     return distinct_by_text(h, t)
 
 
 def distinct_by_text(h: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct (text, hash) pairs, sorted."""
-    o = np.argsort(h, kind="stable")
-    o = o[np.argsort(t[o], kind="stable")]
-    h, t = h[o], t[o]
+    if len(t) and (t[1:] < t[:-1]).any():
+        o = np.argsort(t, kind="stable")
+        h, t = h[o], t[o]
+    else:
+        h = h.copy()
+    cut = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1], [True]])) if len(t) else []
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        h[a:b].sort()
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (t[1:] != t[:-1])
     return h[new], t[new]
