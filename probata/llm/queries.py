@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, langid, mixlm, pieces, suffixes, topk
+from . import jaccard, langid, linededup, mixlm, pieces, suffixes, topk
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.report(table(spark, sf_dir, "documents"))
+
+
 def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.deduplicated(table(spark, sf_dir, "documents"))
 
@@ -39,7 +43,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
-QUERIES = {"op2_pieces": op2_pieces, "op3_mixlm": op3_mixlm, "op5_jaccard": op5_jaccard, "op7_suffixes": op7_suffixes, "op9_langid": op9_langid, "op10_topk": op10_topk}
+QUERIES = {"op2_pieces": op2_pieces, "op3_mixlm": op3_mixlm, "op5_jaccard": op5_jaccard, "op6_linededup": op6_linededup, "op7_suffixes": op7_suffixes, "op9_langid": op9_langid, "op10_topk": op10_topk}
 
 ORACLES = {
     "op10_topk": """
