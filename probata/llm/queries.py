@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, langid, linededup, mixlm, pieces, suffixes, topk
+from . import decontaminate, jaccard, langid, linededup, mixlm, pieces, suffixes, topk
 from .common import table
 
 
@@ -15,6 +15,10 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), piece_model())
 
@@ -43,7 +47,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
-QUERIES = {"op2_pieces": op2_pieces, "op3_mixlm": op3_mixlm, "op5_jaccard": op5_jaccard, "op6_linededup": op6_linededup, "op7_suffixes": op7_suffixes, "op9_langid": op9_langid, "op10_topk": op10_topk}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_pieces": op2_pieces, "op3_mixlm": op3_mixlm, "op5_jaccard": op5_jaccard, "op6_linededup": op6_linededup, "op7_suffixes": op7_suffixes, "op9_langid": op9_langid, "op10_topk": op10_topk}
 
 ORACLES = {
     "op10_topk": """
