@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, langid, linededup, mixlm, pieces, suffixes, topk
+from . import decontaminate, jaccard, langid, linededup, mixlm, pieces, suffixes, topk, warc
 from .common import table
 
 
@@ -39,6 +39,10 @@ def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.deduplicated(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.fixity(table(spark, sf_dir, "pages"))
+
+
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.held_out_identified(table(spark, sf_dir, "documents"))
 
@@ -47,9 +51,36 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_pieces": op2_pieces, "op3_mixlm": op3_mixlm, "op5_jaccard": op5_jaccard, "op6_linededup": op6_linededup, "op7_suffixes": op7_suffixes, "op9_langid": op9_langid, "op10_topk": op10_topk}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_pieces": op2_pieces, "op3_mixlm": op3_mixlm, "op5_jaccard": op5_jaccard, "op6_linededup": op6_linededup, "op7_suffixes": op7_suffixes, "op8_warc": op8_warc, "op9_langid": op9_langid, "op10_topk": op10_topk}
 
 ORACLES = {
+    "op8_warc": """
+        with p as (
+            select page_id::bigint as page_id, coalesce(url, '') as url, coalesce(html, '') as html,
+                   greatest(1, (count(*) over () + 1023) // 1024) as n
+            from pages
+        ), r as (
+            select page_id, url, ('0x' || substr(md5(concat_ws(' ', coalesce(page_id::varchar, ''), url)), 1, 8))::bigint % n as file,
+                   substr(md5('damage ' || coalesce(page_id::varchar, '')), 1, 2) as pick,
+                   'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:sha256:'
+                   || sha256(url || chr(10) || html) || '>' || chr(13) || chr(10) || 'WARC-Date: 2024-01-01T00:00:00Z' || chr(13) || chr(10)
+                   || 'WARC-Target-URI: ' || url || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10)
+                   || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10)
+                   || html || chr(13) || chr(10) || chr(13) || chr(10) as record
+            from p
+        ), c as (
+            select *, case when pick = '00' then left(record, length(record) - 5) || '#' || right(record, 4)
+                           when pick = '01' then repeat('0', strlen(record))
+                           when pick = '02' then null else record end as copy
+            from r
+        ), f as (
+            select file, row_number() over w - 1 as number, page_id, url,
+                   coalesce(sum(strlen(record)) over (w rows between unbounded preceding and 1 preceding), 0)::bigint as "offset",
+                   strlen(record) as length, sha256(record) as kept, sha256(copy) as replica
+            from c window w as (partition by file order by page_id nulls first, url, sha256(record))
+        )
+        select * from f where kept is distinct from replica
+    """,
     "op10_topk": """
         with v as (
             select distinct vec_id, list_transform(embedding, lambda e: floor(1024 * e::double)::bigint) as x
