@@ -30,10 +30,10 @@ WINDOW = 50
 GRAM = 12
 #: log2 of the bits of the bitmap of shared k-grams that goes to every executor: 16 MB.
 BITMAP_BITS = 27
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 #: Texts are cut into overlapping pieces of this size, and blocks flushed beyond it.
 PIECE_BYTES = 1 << 23
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 FLUSH_KEYS = 1 << 22
 
 
