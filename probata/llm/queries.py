@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, langid, linededup, mixlm, pieces, suffixes, topk, warc
+from . import decontaminate, htmltext, jaccard, langid, linededup, mixlm, pieces, suffixes, topk, warc
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op3_mixlm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixlm.scored(table(spark, sf_dir, "documents"))
 
 
+def op4_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extracted(table(spark, sf_dir, "pages"))
+
+
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_pieces": op2_pieces, "op3_mixlm": op3_mixlm, "op5_jaccard": op5_jaccard, "op6_linededup": op6_linededup, "op7_suffixes": op7_suffixes, "op8_warc": op8_warc, "op9_langid": op9_langid, "op10_topk": op10_topk}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_pieces": op2_pieces, "op3_mixlm": op3_mixlm, "op4_htmltext": op4_htmltext, "op5_jaccard": op5_jaccard, "op6_linededup": op6_linededup, "op7_suffixes": op7_suffixes, "op8_warc": op8_warc, "op9_langid": op9_langid, "op10_topk": op10_topk}
 
 ORACLES = {
     "op8_warc": """
