@@ -139,7 +139,7 @@ def subset_keys(n: int, h: np.ndarray, lightest: int) -> list[tuple[int, np.ndar
     for c in subset_sizes(n, lightest):
         gone = np.array(list(combinations(range(n), n - c)), np.int64).reshape(comb(n, c), n - c)
         left = total[:, None] - m[:, gone].sum(axis=2, dtype=U64)
-        out.append((c, mix(left + U64(c) * U64(0x9E3779B97F4A7C15))))
+        out.append((c, mix(left + mix(np.array([c], U64)))))
     return out
 
 
