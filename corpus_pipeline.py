@@ -16,15 +16,20 @@ MOST_SENT = 1 << 20
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: those without text or without any letter go; a missing lang is filled in."""
     train = docs.filter(langid.remainder() != 1).select("text", "lang")
-    out = langid.identified(docs, train).filter(F.col("lang_pred") != langid.UNKNOWN)
-    return out.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    # Columns that the operator would replace step aside.
+    aside = {c: f"__kept_{c}" for c in ("lang_pred", "score") if c in docs.columns}
+    out = langid.identified(docs.withColumnsRenamed(aside), train).filter(F.col("lang_pred") != langid.UNKNOWN)
+    out = out.withColumn("lang", F.coalesce("lang", "lang_pred")).drop("lang_pred", "score")
+    return out.withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines; one that loses lines and has no word left goes."""
-    out = linededup.deduplicated(docs)
+    aside = {c: f"__kept_{c}" for c in ("n_lines", "n_removed") if c in docs.columns}
+    out = linededup.deduplicated(docs.withColumnsRenamed(aside))
     left = (F.col("n_removed") == 0) | F.col("text").rlike(r"\S")
-    return out.filter(F.coalesce(left, F.lit(True))).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    out = out.filter(F.coalesce(left, F.lit(True))).withColumn("n_chars", F.length("text").cast("long")).drop("n_lines", "n_removed")
+    return out.withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
