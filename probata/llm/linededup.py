@@ -19,7 +19,7 @@ from .common import staged
 
 MIN_WORDS = 5
 NEAR_WORDS = 10
-#: As many line hashes (8 bytes each) are sent to all executors at most; beyond that, they are joined by a shuffle.
+#: As many rows of keys and places (48 bytes each) are sent to all executors at most; beyond that, they are joined by a shuffle.
 MOST_SENT = 1 << 20
 #: Lines of a document at most, for the place of a line as one number.
 LINES = 10**9
@@ -46,17 +46,29 @@ def half_keys(words: Column) -> list[Column]:
 
 
 def variants(lines: DataFrame) -> DataFrame:
-    """(key, cut, at, hash, place): for each line, every word left out (cut) and every gap, at its place."""
+    """(key, cut, at, place): for each line, every word left out (cut) and every gap, at its place.
+
+    A line that shares only its first half with others can differ from them only after it, and the other way round; variants elsewhere are left out.
+    """
     # Hashes of the words before and from each place on, each from its neighbour's.
     step = lambda acc, w: F.concat(acc, F.array(F.xxhash64(F.element_at(acc, -1), w)))
     start = F.array(F.lit(42).cast("bigint"))
     before = F.aggregate("words", start, step)
     after = F.reverse(F.aggregate(F.reverse("words"), start, step))
-    both = lines.select("hash", "place", "n", before.alias("before"), after.alias("after"))
+    half = F.floor((F.col("n") - 1) / 2).cast("int")
+    low = F.when(F.col("last"), 0).otherwise(half)
+    high = F.when(F.col("first"), F.col("n")).otherwise(F.col("n") - half)
+    both = lines.select("place", "n", low.alias("low"), high.alias("high"), before.alias("before"), after.alias("after"))
     # after[i] hashes words from i on; before[i] those up to i.
-    cut = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.struct(F.xxhash64(i, F.get("before", i), F.get("after", i + 1)).alias("key"), F.lit(True).alias("cut"), i.alias("at")))
-    gap = F.transform(F.sequence(F.lit(0), F.col("n")), lambda i: F.struct(F.xxhash64(i, F.get("before", i), F.get("after", i)).alias("key"), F.lit(False).alias("cut"), i.alias("at")))
-    return both.select("hash", "place", F.explode(F.concat(cut, gap)).alias("v")).select("v.key", "v.cut", "v.at", "hash", "place")
+    cut = F.transform(F.sequence("low", F.least("high", F.col("n") - 1)), lambda i: F.struct(F.xxhash64(i, F.get("before", i), F.get("after", i + 1)).alias("key"), F.lit(True).alias("cut"), i.alias("at")))
+    gap = F.transform(F.sequence("low", "high"), lambda i: F.struct(F.xxhash64(i, F.get("before", i), F.get("after", i)).alias("key"), F.lit(False).alias("cut"), i.alias("at")))
+    return both.select("place", F.explode(F.concat(cut, gap)).alias("v")).select("v.key", "v.cut", "v.at", "place")
+
+
+def sent_if_few(df: DataFrame) -> DataFrame:
+    """A staged table, marked to be sent to all executors if its rows are at most MOST_SENT."""
+    df = staged(df)
+    return F.broadcast(df) if df.count() <= MOST_SENT else df
 
 
 def one_edit(a: Column, a_cut: Column, b: Column, at: Column) -> Column:
@@ -74,25 +86,27 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     each = staged(each)
     distinct = staged(each.groupBy("hash").agg(F.min("place").alias("place"), F.max("place").alias("last"), *(F.min(f"k{i}").alias(f"k{i}") for i in range(len(keys)))))
     # Lines that share a half with another line.
-    half = distinct.filter("k0 is not null").select("hash", F.explode(F.array_distinct(F.array(*(f"k{i}" for i in range(len(keys)))))).alias("key"))
-    shared = half.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
-    some = staged(half.join(staged(shared), "key").select("hash").distinct().join(distinct.select("hash", "place"), "hash"))
-    few = some.count() <= MOST_SENT
-    words = lines.filter(near).select(F.xxhash64("words").alias("hash"), "place", "words")
-    near_lines = staged(words.join(F.broadcast(some) if few else some, ["hash", "place"]).dropDuplicates(["hash"]).select("hash", "place", "words", F.size("words").alias("n")))
+    sides = F.array_distinct(F.array(*(F.struct(F.col(f"k{i}").alias("key"), F.lit(i % 2 == 0).alias("first")) for i in range(len(keys)))))
+    half = distinct.filter("k0 is not null").select("place", "hash", F.explode(sides).alias("k")).select("place", "hash", "k.key", "k.first")
+    shared = sent_if_few(half.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key"))
+    some = half.join(shared, "key").groupBy("hash", "place").agg(F.bool_or("first").alias("first"), F.bool_or(~F.col("first")).alias("last"))
+    some = sent_if_few(some)
+    holders = sent_if_few(some.select(((F.col("place") - F.pmod("place", F.lit(LINES))) / LINES).cast("long").alias("doc_id")).distinct())
+    words = lines_of(docs.join(holders, "doc_id", "left_semi")).filter(near).select(F.xxhash64("words").alias("hash"), "place", "words")
+    near_lines = staged(words.join(some, ["hash", "place"]).dropDuplicates(["hash"]).select("hash", "place", "words", F.size("words").alias("n"), "first", "last"))
     v = variants(near_lines)
     least = v.groupBy("key").agg(F.min(F.when(F.col("cut"), F.col("place"))).alias("cut_place"), F.min(F.when(~F.col("cut"), F.col("place"))).alias("gap_place"), F.count(F.lit(1)).alias("c"))
-    least = staged(least.filter("c > 1 and cut_place is not null").drop("c"))
+    least = sent_if_few(least.filter("c > 1 and cut_place is not null").drop("c"))
     met = v.join(least, "key")
     # A left-out variant matches an earlier line that leaves a word out there or has the gap; a gap variant one that leaves the word out.
     earlier = F.array_compact(F.array(F.when(F.col("cut_place") < F.col("place"), F.col("cut_place")), F.when(F.col("cut") & (F.col("gap_place") < F.col("place")), F.col("gap_place"))))
-    met = met.select("hash", "cut", "at", F.explode(earlier).alias("by")).distinct()
-    mine = near_lines.select("hash", F.col("words").alias("a"))
+    met = met.select("place", "cut", "at", F.explode(earlier).alias("by")).distinct()
+    mine = near_lines.select("place", "hash", F.col("words").alias("a"))
     theirs = near_lines.select(F.col("place").alias("by"), F.col("words").alias("b"))
-    changed = met.join(mine, "hash").join(theirs, "by").filter(one_edit(F.col("a"), F.col("cut"), F.col("b"), F.col("at"))).select("hash").distinct().withColumn("near", F.lit(True))
+    changed = met.join(mine, "place").join(theirs, "by").filter(one_edit(F.col("a"), F.col("cut"), F.col("b"), F.col("at"))).select("hash").distinct().withColumn("near", F.lit(True))
     # Lines with an equal one elsewhere, or one edit from an earlier one, are few beside all.
     known = distinct.join(changed, "hash", "left").filter("last <> place or near").select("hash", F.col("place").alias("kept"), F.coalesce("near", F.lit(False)).alias("near"))
-    gone = each.join(staged(known), "hash").filter("near or place <> kept")
+    gone = each.select("doc_id", "row", "pos", "place", "hash").join(sent_if_few(known), "hash").filter("near or place <> kept")
     return gone.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("gone"))
 
 
@@ -104,13 +118,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     repeat each other. Columns named n_lines or n_removed are replaced.
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    gone = repeated_lines(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_d"), F.col("row").alias("_r"), F.array_sort("gone").alias("_gone"))
-    rows = docs.select(*names).withColumn("_row", F.xxhash64("text"))
-    out = rows.join(gone, (F.col("doc_id") == F.col("_d")) & (F.col("_row") == F.col("_r")), "left")
+    gone = repeated_lines(docs.select("doc_id", "text")).select(F.col("doc_id").alias("__line_doc"), F.col("row").alias("__line_row"), F.array_sort("gone").alias("__line_gone"))
+    rows = docs.select(*names).withColumn("__line_own", F.xxhash64("text"))
+    out = rows.join(gone, (F.col("doc_id") == F.col("__line_doc")) & (F.col("__line_own") == F.col("__line_row")), "left")
     lines = F.split("text", "\n")
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
-    return out.select(*(text.alias("text") if c == "text" else F.col(c) for c in names), F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"))
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__line_gone", i)), "\n")
+    text = F.when(F.col("__line_gone").isNull(), F.col("text")).otherwise(left)
+    return out.select(*(text.alias("text") if c == "text" else F.col(c) for c in names), F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("__line_gone"), F.lit(0)).cast("long").alias("n_removed"))
 
 
 def report(docs: DataFrame) -> DataFrame:
