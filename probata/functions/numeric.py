@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The published matrices between linear sRGB and OKLab.
 LMS = ((0.4122214708, 0.5363325363, 0.0514459929), (0.2119034982, 0.6806995451, 0.1073969566), (0.0883024619, 0.2817188376, 0.6299787005))
@@ -65,28 +66,28 @@ def anchored(outer: Column, inner: Column, where: str) -> Column:
     return {"start": F.lit(0), "middle": F.floor((outer - inner) / 2), "end": outer - inner}[where]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def casefold(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else x.casefold())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfd(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFD", x))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def round_even(x: pd.Series, digits: pd.Series) -> pd.Series:
     """Rounds the exact binary value, ties to even, as no built-in does."""
     return pd.Series([None if pd.isna(v) else round(float(v), int(d)) for v, d in zip(x, digits, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def canonical_json(s: pd.Series) -> pd.Series:
     """JSON text with sorted keys and no spaces; null for text that is not JSON or holds what JSON has no value for."""
 
