@@ -82,7 +82,7 @@ def palette(pixels: DataFrame, colours: int, cut: Callable[[DataFrame], DataFram
     The first centroid is the most frequent colour; the next is always the colour with the largest distance times count, so that
     the result does not hang on random numbers. Assets with no more colours than asked for stay as they are.
     """
-    axes = ["L", "A", "B"]
+    axes = ["lab_l", "lab_a", "lab_b"]
     counts = colour_counts(pixels)
     lab = oklab(*(F.col(c) / 255 for c in CHANNELS))
     points = cut(counts.withColumns(dict(zip(axes, lab, strict=True))))

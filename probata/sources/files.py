@@ -197,7 +197,7 @@ def _ppm(raw: bytes) -> tuple[int, int, bytes]:
         at = end
     w, h, top = fields
     _sized(w, h)
-    values = np.array(raw[at:].split(), np.int64)[: w * h * 3] if plain else np.frombuffer(raw, np.uint8, w * h * 3, at + 1)
+    values = np.array(raw[at:].split(), np.int64)[: w * h * 3] if plain else np.frombuffer(raw, np.uint8, w * h * 3, at + 1).astype(np.int64)
     rgb = (values.reshape(h, w, 3) * 255 // top).astype(np.uint8)
     return w, h, np.concatenate([rgb, np.full((h, w, 1), 255, np.uint8)], axis=2).tobytes()
 
