@@ -13,8 +13,8 @@ def default_columns(n: Column) -> Column:
 def grid_places(frames: DataFrame, order: list, width: int, height: int, columns: int, padding: int = 0, by: list[str] | None = None) -> DataFrame:
     """frames with ordinal, col, row, x and y on a grid of equal cells, in order within each sheet (by)."""
     w = Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
-    out = frames.withColumn("ordinal", F.row_number().over(w) - 1)
-    out = out.withColumns({"col": F.col("ordinal") % columns, "row": F.expr(f"ordinal div {columns}").cast("int")})
+    out = frames.withColumn("ordinal", F.row_number().over(w).cast("long") - 1)
+    out = out.withColumns({"col": F.col("ordinal") % columns, "row": F.expr(f"ordinal div {columns}")})
     return out.withColumns({"x": F.lit(padding) + F.col("col") * (width + padding), "y": F.lit(padding) + F.col("row") * (height + padding)})
 
 
