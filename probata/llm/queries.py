@@ -58,6 +58,43 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_decontaminate": op1_decontaminate, "op2_pieces": op2_pieces, "op3_mixlm": op3_mixlm, "op4_htmltext": op4_htmltext, "op5_jaccard": op5_jaccard, "op6_linededup": op6_linededup, "op7_suffixes": op7_suffixes, "op8_warc": op8_warc, "op9_langid": op9_langid, "op10_topk": op10_topk}
 
 ORACLES = {
+    "op5_jaccard": r"""
+        with recursive w as (
+            select doc_id, row_number() over () as r,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+            from documents
+        ), s as (
+            select distinct doc_id, r, array_to_string(w[i:i + 4], ' ') as s
+            from (select doc_id, r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from w where len(w) > 0)
+        ), n as (select doc_id, r, count(*) as n from s group by 1, 2
+        ), p as (
+            select a.doc_id as a, b.doc_id as b, a.r as ar, b.r as br, count(*) as m from s a join s b on a.s = b.s and a.doc_id < b.doc_id group by all
+        ), l as (
+            select distinct a, b from p join n x on x.r = p.ar join n y on y.r = p.br where 100 * m >= 80 * (x.n + y.n - m)
+        ), e as (select a, b from l union select b, a from l
+        ), c as (select a as doc_id, a as root from e union select e.b, c.root from c join e on e.a = c.doc_id where c.root < e.b
+        ), m as (select doc_id, min(root) as root from c group by 1)
+        select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, case when n.n > 0 then coalesce(m.root, w.doc_id) else w.doc_id end as component_id
+        from w left join n using (r) left join m on m.doc_id = w.doc_id
+    """,
+    "op7_suffixes": """
+        with d as (select doc_id, row_number() over () as r, hex(encode(coalesce(text, ''))) as h from documents
+        ), g as (select doc_id, r, i, substr(h, 2 * i + 1, 100) as s from (select doc_id, r, h, unnest(range(0, len(h) // 2 - 49)) as i from d where len(h) >= 100)
+        ), f as (select s, min(doc_id) as first from g group by 1
+        ), x as (select r, i from g join f using (s) where first < doc_id
+        ), y as (select r, i, max(i + 50) over (partition by r order by i rows between unbounded preceding and 1 preceding) as reach from x
+        ), z as (select r, i, sum(case when reach is null or i > reach then 1 else 0 end) over (partition by r order by i) as k from y
+        ), spans as (select r, k, min(i) as a, max(i) + 50 as b from z group by 1, 2
+        ), gaps as (
+            select r, a, b, lag(b, 1, 0) over (partition by r order by a) as before, row_number() over (partition by r order by a desc) = 1 as last from spans
+        ), kept as (
+            select r, count(*) as n_spans, sum(b - a) as n_removed, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as h, max(case when last then substr(d.h, 2 * b + 1) end) as tail
+            from gaps join d using (r) group by 1
+        )
+        select doc_id, (len(d.h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+               sha256(unhex(case when kept.r is null then d.h else kept.h || tail end)) as kept_sha256
+        from d left join kept using (r)
+    """,
     "op8_warc": """
         with p as (
             select page_id::bigint as page_id, coalesce(url, '') as url, coalesce(html, '') as html,
