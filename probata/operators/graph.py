@@ -19,9 +19,10 @@ def connected_components(links: DataFrame, cut: Callable[[DataFrame], DataFrame]
     state = None
     for _ in range(rounds):
         both = links.union(links.select("v", "u").toDF("u", "v"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # A table of its own: a node with many links is then a join key that can be split.
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = cut(both.join(least, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         near = large.join(least, "u")
         small = near.filter("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         links = cut(small.distinct())
