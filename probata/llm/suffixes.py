@@ -1,10 +1,10 @@
 """Suffix-array dedup: removes bytes that an earlier document already holds in a long enough string.
 
 Equal strings of WINDOW bytes have the same least k-gram (by hash) at the same place, so each
-window belongs to one k-gram occurrence, and a fragment is all windows of one occurrence. 1. The
-k-grams that two documents share are marked in a bitmap of bounded size. 2. Fragments around marked
-k-grams are dealt into buckets by their k-gram, each distinct one of a block of documents once, with the
-least document that holds it. 3. In a bucket, a suffix array over the fragments is built by two-stage
+window belongs to one k-gram occurrence, and a fragment is all windows of one occurrence. 1. A window reaches at
+least half its other bytes beyond its k-gram to the left or to the right; k-grams with either side that two documents share are
+marked in a bitmap of bounded size. 2. Fragments with a marked side are dealt into buckets by their k-gram, each distinct
+one of a block of documents once, with the least document that holds it. 3. In a bucket, a suffix array over the fragments is built by two-stage
 sorting: only suffixes smaller than their successors are sorted, the others follow from bucket
 scans; neighbours with a common prefix of WINDOW bytes are the same string. The least document of
 each string goes back to the blocks, and from there to the documents.
@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binaries, gathered, shuffle_partitions, staged, text_buffers
-from .textops import BYTE_VALUE, U64, distinct_by_text, mix
+from .common import binaries, gathered, released, shuffle_partitions, staged, text_buffers
+from .textops import BYTE_VALUE, U64, distinct_by_text, mix, span_hash
 
 WINDOW = 50
 GRAM = 12
@@ -38,7 +38,7 @@ FLUSH_KEYS = 1 << 22
 
 
 def occurrences(buf: np.ndarray, offs: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(k-gram hash, text index, first window, number of windows) of each fragment, in order."""
+    """(k-gram hash, text index, first window, number of windows, place of the k-gram) of each fragment, in order."""
     parts = []
     n_texts = len(offs) - 1
     if len(buf) <= PIECE_BYTES:
@@ -48,11 +48,11 @@ def occurrences(buf: np.ndarray, offs: np.ndarray, window: int = WINDOW) -> tupl
     text = np.repeat(np.arange(n_texts, dtype=np.int32), np.diff(offs))
     for a, b in pieces:
         if b - a >= window:
-            k, t, s, m = _occurrences(buf[a:b], text[a:b], window)
-            parts.append((k, t, s + a, m))
+            k, t, s, m, p = _occurrences(buf[a:b], text[a:b], window)
+            parts.append((k, t, s + a, m, p + a))
     if not parts:
         z = np.zeros(0, np.int64)
-        return z.astype(U64), z, z, z
+        return z.astype(U64), z, z, z, z
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
@@ -80,10 +80,22 @@ def _occurrences(buf: np.ndarray, text: np.ndarray, window: int):
     at = np.flatnonzero(text[: len(low)] == text[window - 1 :])
     if not len(at):
         z = np.zeros(0, np.int64)
-        return z.astype(U64), z, z, z
+        return z.astype(U64), z, z, z, z
     place_of = (low[at] & place).astype(np.int64)
     new = np.flatnonzero(np.concatenate([[True], (place_of[1:] != place_of[:-1]) | (at[1:] != at[:-1] + 1)]))
-    return mix(h[place_of[new]]), text[at[new]].astype(np.int64), at[new], np.diff(np.append(new, len(at)))
+    return mix(h[place_of[new]]), text[at[new]].astype(np.int64), at[new], np.diff(np.append(new, len(at))), place_of[new]
+
+
+def side_keys(buf: np.ndarray, offs: np.ndarray, text: np.ndarray, place: np.ndarray, window: int = WINDOW):
+    """(left key, right key, left is there, right is there): hashes of each k-gram with the bytes that a window has at least on one side."""
+    side = (window - GRAM) // 2
+    left = place - side >= offs[text]
+    right = place + GRAM + side <= offs[text + 1]
+    hashed = lambda at: span_hash(buf, at, GRAM + side)
+    lk, rk = np.zeros(len(place), U64), np.zeros(len(place), U64)
+    lk[left] = mix(hashed(place[left] - side) + U64(1))
+    rk[right] = mix(hashed(place[right]) + U64(2))
+    return lk, rk, left, right
 
 
 def sorted_suffixes(rows: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -212,7 +224,7 @@ def _bucket_rows(values: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
 
 
 def shared_grams(docs: DataFrame, bits: int, window: int = WINDOW) -> np.ndarray:
-    """The bitmap (bytes) over the top BITMAP_BITS of the k-gram hashes that two rows of docs share."""
+    """The bitmap (bytes) over the top BITMAP_BITS of the side keys that two rows of docs share."""
 
     def emit(batches):
         held, size = [], 0
@@ -227,8 +239,9 @@ def shared_grams(docs: DataFrame, bits: int, window: int = WINDOW) -> np.ndarray
 
         for t in gathered(batches, BATCH_BYTES, "text"):
             buf, offs = text_buffers(t.column("text"))
-            key, text, _, _ = occurrences(buf, offs, window)
-            key, _ = distinct_by_text(key, text)
+            _, text, _, _, place = occurrences(buf, offs, window)
+            lk, rk, left, right = side_keys(buf, offs, text, place, window)
+            key, _ = distinct_by_text(np.concatenate([lk[left], rk[right]]), np.concatenate([text[left], text[right]]))
             if len(key):
                 held.append(key)
                 size += len(key)
@@ -254,6 +267,11 @@ def shared_grams(docs: DataFrame, bits: int, window: int = WINDOW) -> np.ndarray
     return out
 
 
+def _marked(marks: np.ndarray, key: np.ndarray) -> np.ndarray:
+    at = (key >> U64(64 - BITMAP_BITS)).astype(np.int64)
+    return (marks[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, crc, spans): the byte spans, merged, that a document with a smaller doc_id holds within a string of window bytes.
 
@@ -262,7 +280,9 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     spark = docs.sparkSession
     bits = min(16, max(6, int(np.ceil(np.log2(4 * shuffle_partitions(spark))))))
+    side = (window - GRAM) // 2
     marks = spark.sparkContext.broadcast(shared_grams(docs, bits, window))
+    released(spark)
 
     def emit(batches):
         held, size = [], 0
@@ -295,9 +315,14 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         for t in gathered(batches, BATCH_BYTES, "text"):
             buf, offs = text_buffers(t.column("text"))
             size += len(buf)
-            key, text, a, m = occurrences(buf, offs, window)
-            at = (key >> U64(64 - BITMAP_BITS)).astype(np.int64)
-            hot = (marks.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+            key, text, a, m, place = occurrences(buf, offs, window)
+            lk, rk, left, right = side_keys(buf, offs, text, place, window)
+            left, right = left & _marked(marks.value, lk), right & _marked(marks.value, rk)
+            # With one side shared, only the windows that reach as far on that side.
+            end = np.where(right, a + m, np.minimum(a + m, place - side + 1))
+            a = np.where(left, a, np.maximum(a, place - side))
+            m = end - a
+            hot = (left | right) & (m > 0)
             key, text, a, m = key[hot], text[hot], a[hot], m[hot]
             if len(key):
                 lens = m + window - 1
@@ -346,7 +371,8 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "runs": out})
 
     blocks = staged(docs.withColumn("crc", F.crc32("text")).mapInArrow(emit, "block long, bucket int, frags binary, places binary"))
-    runs = blocks.select("block", "bucket", "frags").groupBy("bucket").applyInPandas(resolve, "block long, bucket int, runs binary")
+    runs = staged(blocks.select("block", "bucket", "frags").groupBy("bucket").applyInPandas(resolve, "block long, bucket int, runs binary"))
+    released(spark)
     both = blocks.select("block", "bucket", "places").join(runs, ["block", "bucket"])
 
     def spread(frames):
@@ -384,7 +410,9 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return pd.DataFrame({"doc_id": doc[cut[:-1]], "crc": crc[cut[:-1]], "spans": [spans[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)]})
 
     dealt = both.mapInPandas(spread, "part int, spans binary")
-    return dealt.groupBy("part").applyInPandas(collect, "doc_id long, crc long, spans binary")
+    found = staged(dealt.groupBy("part").applyInPandas(collect, "doc_id long, crc long, spans binary"))
+    released(spark)
+    return found
 
 
 def _fragment_hash(data: np.ndarray, lens: np.ndarray) -> np.ndarray:

@@ -87,6 +87,23 @@ def run_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray, piece: int = 1
     return mix(out)
 
 
+def span_hash(buf: np.ndarray, start: np.ndarray, size: int, piece: int = 1 << 22) -> np.ndarray:
+    """A 64-bit hash of the size bytes from each start on; starts are in order and may overlap."""
+    out = np.zeros(len(start), U64)
+    i = 0
+    while i < len(start):
+        a = start[i]
+        j = int(np.searchsorted(start, a + piece, side="right"))
+        b = start[j - 1] + size
+        up, down = _power_table(int(b - a) + 1)
+        total = np.zeros(int(b - a) + 1, U64)
+        np.cumsum(BYTE_VALUE[buf[a:b]] * up[:-1], out=total[1:])
+        s = start[i:j] - a
+        out[i:j] = (total[s + size] - total[s]) * down[s]
+        i = j
+    return mix(out)
+
+
 def shingles(word: np.ndarray, text: np.ndarray, n_texts: int, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text index) of the distinct shingles of each text, in order of text and hash.
 

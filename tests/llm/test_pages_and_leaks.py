@@ -86,7 +86,7 @@ def test_fixity_locates_damage(spark):
     rows = [(i, f"http://h/{i % 7}", f"<p>{'x' * (i % 50)} é {i}</p>") for i in range(900)] + [(None, None, None), (3, "http://h/3", None), (5, "http://h/5", "<p>"), (5, "http://h/5", "<p>")]
     archive = warc.archived(spark.createDataFrame([(*r, "k") for r in rows], "page_id long, url string, html string, file string"), file_records=100)
     assert archive.count() == len(rows)
-    copies = archive.withColumns({"a": warc.F.col("record"), "b": warc.F.when(warc.F.col("page_id").isin(17, 400), warc.F.concat("record", warc.F.lit("!"))).when(warc.F.col("page_id") != 523, warc.F.col("record"))})
+    copies = archive.withColumns({"a": warc.F.col("record"), "b": warc.F.when(warc.F.col("page_id").isin(17, 400), warc.F.concat("record", warc.F.lit("!"))).when(~warc.F.col("page_id").eqNullSafe(523), warc.F.col("record"))})
     found = warc.audit(copies, "a", "b", fanout=4).collect()
     assert sorted(r["page_id"] for r in found) == [17, 400, 523]
     assert [r["b"] for r in found if r["page_id"] == 523] == [None]
