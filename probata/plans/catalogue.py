@@ -5,7 +5,6 @@ The driver's tables hold no sprites or meshes; each query applies an operator to
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from probata.functions import numeric, paths
 from probata.operators import archive, checks, compare, graph, keys, layout, mesh, raster, ratio
+from probata.operators.staging import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,15 +32,6 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Writes an intermediate table to the folder that the session names for checkpoints."""
-    spark = df.sparkSession
-    path = f"{spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints'}/probata/{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
 def _gates(spark: SparkSession, d: str) -> DataFrame:
     """Three gates of each document: it is not empty, its label's quality, and that it is not toxic."""
     docs = _t(spark, d, "documents").select("doc_id", "source", "n_chars")
@@ -409,7 +400,7 @@ def connected_components(spark, d):
     e = _t(spark, d, "events").select("event_id", "user_id")
     after = e.select((F.col("event_id") - 1).alias("event_id"), F.col("user_id").alias("v"))
     links = e.filter("event_id % 3 = 0").join(after, "event_id").select(F.col("user_id").alias("u"), "v")
-    return graph.connected_components(links, _cut)
+    return graph.connected_components(links, cut)
 
 
 @_query("""
