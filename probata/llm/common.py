@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 
 import numpy as np
@@ -45,6 +46,12 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of finished stages, which Spark frees when the driver's collector meets their plans."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

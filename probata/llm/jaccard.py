@@ -5,9 +5,10 @@ classes are what is joined. Two sets link when their overlap reaches a bound tha
 (few shingles) emit their subsets of that fixed size: two light sets with a common subset link, without more ado.
 Heavy sets are found through inverted lists over the part of a set that linked sets must share, rarest
 shingles first by a sketch of fixed size; pairs met in a list are verified on the whole sets. The size between light and
-heavy is where subsets would cost more than lists. A list is first linked to the smallest
-set of each size band; then every pair of a list that is not yet in one component is verified too, so no link between
-components is lost though pairs within them are not all looked at.
+heavy is where subsets would cost more than lists. The sets of a list are first
+linked to those with the fewest rarer shingles; then every pair of a list that is not yet in one component, and shares enough at all
+by the count of its shingles that are in any list, is verified too. So no link between components is lost, though pairs within
+them are not all looked at.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from probata.operators.graph import connected_components
 
-from .common import binaries, gathered, shuffle_partitions, staged, text_buffers
+from .common import binaries, gathered, released, shuffle_partitions, staged, text_buffers
 from .suffixes import _bucket_rows, _packed, _unpacked
 from .textops import LOWER, U64, mix, run_hash, shingles, words
 
@@ -36,6 +37,8 @@ SKETCH_BITS = 20
 LIGHTEST = 16
 BATCH_BYTES = 1 << 20
 BLOCK_BYTES = 16 << 20
+#: Matches by chance that a comparison of 32-bit hashes allows for.
+CHANCE = 8
 #: As many rows of ids (16 bytes each) are sent to all executors at most; beyond that, they are joined by a shuffle.
 MOST_SENT = 1 << 20
 
@@ -143,7 +146,10 @@ def subset_keys(n: int, h: np.ndarray, lightest: int) -> list[tuple[int, np.ndar
     return out
 
 
-LIST, SUBSET = 0, 1
+#: Kinds of what comes out of a bucket: pairs of a list to verify, links of subsets, lists, and how many lists a set is in.
+LIST, SUBSET, MEMBERS, COUNT = 0, 1, 2, 3
+#: Leaders of a list that its sets are linked to at first.
+LEADERS = 8
 
 
 def list_entries(docs: DataFrame, level: np.ndarray, light: int, bits: int) -> DataFrame:
@@ -155,12 +161,13 @@ def list_entries(docs: DataFrame, level: np.ndarray, light: int, bits: int) -> D
         held, size = [], 0
 
         def flush():
-            token, key, n, c = (np.concatenate([x[k] for x in held]) for k in range(4))
+            token, key, n, c, p = (np.concatenate([x[k] for x in held]) for k in range(5))
             where = mix(token)
-            o = np.argsort(where >> U64(64 - bits), kind="stable")
-            rows = _bucket_rows(where[o], bits)
+            o = np.argsort(where)
+            where = where[o]
+            rows = _bucket_rows(where, bits)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), binaries([_packed(token[o[a:b]], key[o[a:b]], n[o[a:b]].astype(np.int32), c[o[a:b]].astype(np.uint8)) for _, a, b in rows])],
+                [pa.array([r[0] for r in rows], pa.int32()), binaries([_packed(np.diff(where[a:b], prepend=U64(0)), key[o[a:b]], n[o[a:b]].astype(np.int32), c[o[a:b]].astype(np.uint8), p[o[a:b]].astype(np.int32)) for _, a, b in rows])],
                 names=["bucket", "payload"],
             )
 
@@ -178,22 +185,25 @@ def list_entries(docs: DataFrame, level: np.ndarray, light: int, bits: int) -> D
             order = (sent.value[(h >> U64(64 - SKETCH_BITS)).astype(np.int64)].astype(U64) << U64(59)) | (h & U64((1 << 59) - 1))
             cut = np.searchsorted(text, np.arange(len(key) + 1))
             takes = fresh & (n >= shared)
-            parts, who = [], []
+            parts, who, places = [], [], []
             for i in np.flatnonzero(takes).tolist():
                 p = int(prefix_length(n[i]))
                 part = order[cut[i] : cut[i + 1]]
-                parts.append(part if p >= len(part) else np.partition(part, p - 1)[:p])
-                who.append(np.full(len(parts[-1]), i))
+                part = part.copy() if p >= len(part) else np.partition(part, p - 1)[:p]
+                part.sort()
+                parts.append(part)
+                who.append(np.full(len(part), i))
+                places.append(np.arange(len(part)))
             if parts:
                 token, w = mix(np.concatenate(parts)), np.concatenate(who)
-                held.append((token, key[w], n[w], np.zeros(len(w), np.int64)))
+                held.append((token, key[w], n[w], np.zeros(len(w), np.int64), np.concatenate(places)))
             for m in range(1, light + 1):
                 some = np.flatnonzero(fresh & (n == m))
                 if len(some):
                     sets = h[cut[some][:, None] + np.arange(m)]
                     for c, keys in subset_keys(m, sets, light):
                         k = keys.shape[1]
-                        held.append((keys.ravel(), np.repeat(key[some], k), np.full(k * len(some), m), np.full(k * len(some), c)))
+                        held.append((keys.ravel(), np.repeat(key[some], k), np.full(k * len(some), m), np.full(k * len(some), c), np.zeros(k * len(some), np.int64)))
             size += len(buf)
             if size >= BLOCK_BYTES:
                 if held:
@@ -209,14 +219,15 @@ def _met(light: int):
     """Of a bucket: links of light sets, the pairs to verify first, and the lists."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpacked(x, "<u8", "<u8", "<i4", "u1") for x in pdf["payload"]]
-        token, key, n, c = (np.concatenate([p[k] for p in parts]) for k in range(4))
+        parts = [_unpacked(x, "<u8", "<u8", "<i4", "u1", "<i4") for x in pdf["payload"]]
+        token = np.concatenate([np.cumsum(p[0], dtype=U64) for p in parts])
+        key, n, c, place = (np.concatenate([p[k] for p in parts]) for k in range(1, 5))
         n = n.astype(np.int64)
         o = np.lexsort((key, n, token, c))
-        token, key, n, c = token[o], key[o], n[o], c[o]
+        token, key, n, c, place = token[o], key[o], n[o], c[o], place[o]
         new = np.concatenate([[True], (token[1:] != token[:-1]) | (c[1:] != c[:-1])])
-        again = ~new & np.concatenate([[False], key[1:] == key[:-1]])
-        token, key, n, c, new = token[~again], key[~again], n[~again], c[~again], new[~again]
+        once = new | np.concatenate([[True], key[1:] != key[:-1]])
+        token, key, n, c, place, new = token[once], key[once], n[once], c[once], place[once], new[once]
         cut = np.flatnonzero(np.append(new, True))
         of = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
         many = np.diff(cut) > 1
@@ -229,39 +240,53 @@ def _met(light: int):
         rows = {"kind": [], "a": [], "b": [], "size": [], "keys": []}
         lists = np.flatnonzero(many & (c[cut[:-1]] == 0))
         for x, y in zip(cut[lists].tolist(), cut[lists + 1].tolist(), strict=True):
-            m = n[x:y]
-            # Bands: each led by its smallest set, up to the largest size that it can link with.
-            at = 0
-            while at < y - x:
-                to = int(np.searchsorted(m, 100 * m[at] // PERCENT, side="right"))
-                if to - at > 1:
-                    pairs.append((np.full(to - at - 1, key[x + at]), key[x + at + 1 : x + to]))
-                    kinds.append(np.full(to - at - 1, LIST))
-                at = max(to, at + 1)
-            packed = np.concatenate([key[x:y], m.astype(U64)]).tobytes()
+            m, k, at = n[x:y], key[x:y], place[x:y]
+            # The set with the fewest rarer shingles leads those that it can link with by size; then the next of the rest, a few times.
+            left = np.ones(y - x, bool)
+            for _ in range(LEADERS):
+                rest = np.flatnonzero(left)
+                if len(rest) < 2:
+                    break
+                i = rest[np.argmin(at[rest])]
+                left[i] = False
+                led = left & (100 * m >= PERCENT * m[i]) & (100 * m[i] >= PERCENT * m)
+                pairs.append((np.full(led.sum(), k[i]), k[led]))
+                kinds.append(np.full(led.sum(), LIST))
+                left &= ~led
             rows["size"].append(y - x)
-            rows["keys"].append(packed)
-        if pairs:
-            table = np.column_stack([np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs]), np.concatenate(kinds).astype(U64)])
-            table = np.unique(table, axis=0) if len(table) else table
+            rows["keys"].append(np.concatenate([k, m.astype(U64)]).tobytes())
+        inside = many[of] & (c == 0)
+        met, times = np.unique(key[inside], return_counts=True)
+        table = np.column_stack([np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs]), np.concatenate(kinds).astype(U64)])
+        table = np.unique(table, axis=0) if len(table) else table
         k, m = len(table), len(rows["keys"])
         return pd.DataFrame(
             {
-                "kind": np.concatenate([table[:, 2].astype(np.int64), np.full(m, 2)]),
-                "a": np.concatenate([table[:, 0].view(np.int64) if k else np.zeros(0, np.int64), np.zeros(m, np.int64)]),
-                "b": np.concatenate([np.ascontiguousarray(table[:, 1]).view(np.int64) if k else np.zeros(0, np.int64), np.asarray(rows["size"], np.int64)]),
-                "keys": [None] * k + rows["keys"],
+                "kind": np.concatenate([table[:, 2].astype(np.int64), np.full(m, MEMBERS), np.full(len(met), COUNT)]),
+                "a": np.concatenate([np.ascontiguousarray(table[:, 0]).view(np.int64), np.zeros(m, np.int64), met.view(np.int64)]),
+                "b": np.concatenate([np.ascontiguousarray(table[:, 1]).view(np.int64), np.asarray(rows["size"], np.int64), times]),
+                "keys": [None] * k + rows["keys"] + [None] * len(met),
             }
         )
 
     return run
 
 
-def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of pairs (a, b) of set keys whose sets link. reps: (key, doc_id) of a document for each set."""
-    ids = staged(pairs.select("a").union(pairs.select("b")).distinct().toDF("key").join(reps, "key"))
-    few = ids.count() <= MOST_SENT
-    rows = docs.join(F.broadcast(ids) if few else ids, "doc_id").select("key", "text")
+def sent_if_few(df: DataFrame) -> DataFrame:
+    """A staged table, marked to be sent to all executors if its rows are at most MOST_SENT."""
+    df = staged(df)
+    return F.broadcast(df) if df.count() <= MOST_SENT else df
+
+
+def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, wide: bool = False) -> DataFrame:
+    """Those of pairs (a, b) of set keys whose sets link. reps: (key, doc_id) of a document for each set.
+
+    Sets travel as 32 bits of each hash, which can only overstate an overlap; pairs that a few chance matches could decide are
+    verified again with 48 bits.
+    """
+    spark = docs.sparkSession
+    ids = sent_if_few(pairs.select("a").union(pairs.select("b")).distinct().toDF("key").join(reps, "key"))
+    rows = docs.join(ids, "doc_id").select("key", "text")
 
     def emit(batches):
         for t in gathered(batches, BATCH_BYTES, "text"):
@@ -274,46 +299,57 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
             out = []
             for i in right.tolist():
                 s = h[cut[i] : cut[i + 1]] >> U64(16)
-                high = (s >> U64(16)).astype(np.uint32)
-                out.append(_packed(np.diff(high, prepend=np.uint32(0)), (s & U64(0xFFFF)).astype(np.uint16)))
+                step = np.diff((s >> U64(16)).astype(np.uint32), prepend=np.uint32(0))
+                out.append(_packed(step, (s & U64(0xFFFF)).astype(np.uint16)) if wide else _packed(step))
             yield pa.RecordBatch.from_arrays([pa.array(asked[right]), binaries(out)], names=["key", "hashes"])
 
-    sets = staged(rows.mapInArrow(emit, "key long, hashes binary").dropDuplicates(["key"]))
+    sets = staged(rows.mapInArrow(emit, "key long, hashes binary"))
+    released(spark)
 
     def compare(frames):
         for pdf in frames:
-            keep, last, x = [], None, None
+            keep, close, last, x = [], [], None, None
             for a, sa, sb in zip(pdf["a"], pdf["sa"], pdf["sb"], strict=True):
                 if a != last:
-                    last, x = a, _set(sa)
-                y = _set(sb)
-                both = np.concatenate([x, y])
+                    last, x = a, _set(sa, wide)
+                both = np.concatenate([x, _set(sb, wide)])
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= PERCENT * (len(both) - common))
-            yield pdf.loc[keep, ["a", "b"]]
+                links = lambda m: 100 * m >= PERCENT * (len(both) - m)
+                keep.append(links(common))
+                close.append(not wide and links(common) and not links(common - CHANCE))
+            yield pd.DataFrame({"a": pdf["a"][keep], "b": pdf["b"][keep], "close": [c for k, c in zip(keep, close, strict=True) if k]})
 
+    leaders = sets.join(sent_if_few(pairs.select(F.col("a").alias("key")).distinct()), "key", "left_semi")
     one = pairs.join(sets.toDF("b", "sb"), "b")
-    return one.join(sets.toDF("a", "sa"), "a").select("a", "b", "sa", "sb").mapInPandas(compare, "a long, b long")
+    found = one.join(leaders.toDF("a", "sa"), "a").select("a", "b", "sa", "sb").mapInPandas(compare, "a long, b long, close boolean")
+    found = staged(found)
+    released(spark)
+    sure = found.filter("not close").select("a", "b")
+    again = found.filter("close").select("a", "b").distinct()
+    return sure if wide or again.isEmpty() else sure.union(verified(again, reps, docs, wide=True))
 
 
-def _set(packed: bytes) -> np.ndarray:
+def _set(packed: bytes, wide: bool) -> np.ndarray:
+    if not wide:
+        return np.cumsum(_unpacked(packed, "<u4")[0], dtype=np.int64)
     step, low = _unpacked(packed, "<u4", "<u2")
-    return (np.cumsum(step.astype(np.int64)) << 16) | low
+    return (np.cumsum(step, dtype=np.int64) << 16) | low
 
 
 def _across(frames):
-    """Pairs of a list's sets that are in different components and can link by size."""
+    """Pairs of a list's sets that are in different components and can link by size and by how much of them is shared at all."""
     for pdf in frames:
         a, b = [], []
         for members in pdf["members"]:
             n = np.array([m["n"] for m in members], np.int64)
             o = np.argsort(n, kind="stable")
             n = n[o]
-            key, root = np.array([m["key"] for m in members], np.int64)[o], np.array([m["root"] for m in members], np.int64)[o]
+            key, root, most = (np.array([m[c] for m in members], np.int64)[o] for c in ("key", "root", "most"))
             top = np.searchsorted(n, 100 * n // PERCENT, side="right")
             for i in range(len(n)):
-                other = np.flatnonzero(root[i + 1 : top[i]] != root[i]) + i + 1
+                part = slice(i + 1, top[i])
+                other = np.flatnonzero((root[part] != root[i]) & (np.minimum(most[part], most[i]) >= needed(n[i], n[part]))) + i + 1
                 if len(other):
                     a.append(np.full(len(other), key[i]))
                     b.append(key[other])
@@ -340,13 +376,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = staged(linked.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")))
     entries = list_entries(rows.filter("doc_id is not null"), level, light, bits)
     met = staged(entries.groupBy("bucket").applyInPandas(_met(light), "kind long, a long, b long, keys binary"))
+    released(spark)
     sure = met.filter(F.col("kind") == SUBSET).select("a", "b")
     pairs = staged(met.filter(F.col("kind") == LIST).select("a", "b").distinct())
     reps_of = reps.select("key", "doc_id")
     first = staged(sure.union(verified(pairs, reps_of, rows)))
     roots = staged(connected_components(first, staged))
     # The lists whose sets are not in one component yet; many lists are alike.
-    lists = met.filter("kind = 2").select("keys").distinct().select(F.xxhash64("keys").alias("list"), "keys")
+    lists = met.filter(F.col("kind") == MEMBERS).select("keys").distinct().select(F.xxhash64("keys").alias("list"), "keys")
 
     def unpack(frames):
         for pdf in frames:
@@ -359,19 +396,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 yield pd.concat(out)
 
     entry = lists.mapInPandas(unpack, "list long, key long, n long")
-    entry = entry.join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    # A shingle in no list is shared with no other set: what is left of a set bounds its overlaps.
+    counts = met.filter(F.col("kind") == COUNT).groupBy("a").agg(F.sum("b").alias("lists")).withColumnRenamed("a", "key")
+    facts = staged(counts.join(roots.select(F.col("node").alias("key"), "root"), "key", "left").select("key", "lists", F.coalesce("root", "key").alias("root")))
+    entry = entry.join(facts, "key")
+    prefix = F.col("n") - F.expr(f"({PERCENT} * n + 99) div 100") + 1
+    entry = entry.withColumn("most", F.col("n") - prefix + F.col("lists")).filter(100 * F.col("most") >= PERCENT * F.col("n")).drop("lists")
     entry = staged(entry)
+    released(spark)
     mixed = entry.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("list")
-    grouped = entry.join(mixed, "list").groupBy("list").agg(F.collect_list(F.struct("key", "n", "root")).alias("members"))
+    grouped = entry.join(mixed, "list").groupBy("list").agg(F.collect_list(F.struct("key", "n", "root", "most")).alias("members"))
     rest = grouped.select("members").mapInPandas(_across, "a long, b long").distinct()
     rest = staged(rest.join(pairs, ["a", "b"], "left_anti"))
     second = verified(rest, reps_of, rows)
     links = staged(first.union(second))
     more = connected_components(links, staged).select(F.col("node").alias("key"), "root")
-    # The least document of each component, then of each class.
-    classes = reps.join(more, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    least = classes.groupBy("root").agg(F.min("doc_id").alias("least"))
-    of_class = staged(classes.join(least, "root").filter("copies > 1 or least <> doc_id").select("key", "least"))
+    # The least document of each component, then of each class; the small table of components is one of its own, so that large ones can be split.
+    in_parts = staged(reps.join(more, "key"))
+    least = staged(in_parts.groupBy("root").agg(F.min("doc_id").alias("least")))
+    part = in_parts.join(least, "root").select("key", "least")
+    of_class = reps.join(part, "key", "left").select("key", "doc_id", "copies", F.coalesce("least", "doc_id").alias("least"))
+    of_class = staged(of_class.filter("copies > 1 or least <> doc_id").select("key", "least"))
     out = members.join(of_class, "key", "left")
     component = F.when(F.col("n") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
