@@ -262,7 +262,7 @@ def shared_grams(docs: DataFrame, bits: int, window: int = WINDOW) -> np.ndarray
     rows = docs.select("text").mapInArrow(emit, "bucket int, keys binary")
     out = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     size = len(out) >> bits
-    for r in rows.groupBy("bucket").applyInPandas(mark, "bucket int, marks binary").toLocalIterator():
+    for r in rows.groupBy("bucket").applyInPandas(mark, "bucket int, marks binary").collect():  # all slices of the bitmap
         out[r["bucket"] * size : (r["bucket"] + 1) * size] = np.frombuffer(zlib.decompress(bytes(r["marks"])), np.uint8)
     return out
 
@@ -308,7 +308,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 o = order[x:y]
                 cols[0].append(name)
                 cols[1].append(int(b[x]))
-                cols[2].append(_packed(lens[at].astype(np.uint8), h[at], low[number[f]], high[number[f]], text))
+                cols[2].append(_packed(lens[at].astype(np.uint8), low[number[f]], high[number[f]] - low[number[f]], text))
                 cols[3].append(_packed((number[x:y] - number[x]).astype(np.int32), doc[o], crc[o], start[o].astype(np.int32)))
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), binaries(cols[2]), binaries(cols[3])], names=["block", "bucket", "frags", "places"])
 
@@ -340,10 +340,10 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield from flush()
 
     def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpacked(x, "u1", "<u8", "<i8", "<i8", "u1") for x in pdf["frags"]]
-        lens, h, low, high, data = (np.concatenate([p[k] for p in parts]) for k in range(5))
+        parts = [_unpacked(x, "u1", "<i8", "<i8", "u1") for x in pdf["frags"]]
+        lens, low, data = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 3))
         lens = lens.astype(np.int64)
-        _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        _, first, inverse = np.unique(_fragment_hash(data, lens), return_index=True, return_inverse=True)
         least = np.full(len(first), np.iinfo(np.int64).max)
         np.minimum.at(least, inverse, low)
         begin = np.concatenate([[0], np.cumsum(lens)[:-1]])
@@ -364,7 +364,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             n = r1[f] - r0[f]
             at = np.repeat(r0[f] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
             own = np.repeat(np.arange(k), n)
-            useful = run_holder[at] < np.repeat(p[3], n)
+            useful = run_holder[at] < np.repeat(p[1] + p[2], n)
             at, own = at[useful], own[useful]
             out.append(_packed(own.astype(np.int32), run_at[at].astype(np.uint8), run_to[at].astype(np.uint8), run_holder[at]))
             i += k
