@@ -6,9 +6,9 @@ classes are what is joined. Two sets link when their overlap reaches a bound tha
 Heavy sets are found through inverted lists over the part of a set that linked sets must share, rarest
 shingles first by a sketch of fixed size; pairs met in a list are verified on the whole sets. The size between light and
 heavy is where subsets would cost more than lists. The sets of a list are first
-linked to those with the fewest rarer shingles; then every pair of a list that is not yet in one component, and shares enough at all
-by the count of its shingles that are in any list, is verified too. So no link between components is lost, though pairs within
-them are not all looked at.
+linked to those with the fewest rarer shingles; then every pair of a list that is not yet in one component is verified too. Before sets
+are compared, a pair must be able to link by its bins: each set has its shingles counted by a few bits of their hashes, and what one set has
+more of in a bin cannot be shared. So no link between components is lost, though pairs within them are not all looked at.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ BATCH_BYTES = 1 << 20
 BLOCK_BYTES = 16 << 20
 #: Matches by chance that a comparison of 32-bit hashes allows for.
 CHANCE = 8
+#: Bins in which the shingles of a set are counted, up to 255 each.
+BINS = 64
 #: As many rows of ids (16 bytes each) are sent to all executors at most; beyond that, they are joined by a shuffle.
 MOST_SENT = 1 << 20
 
@@ -91,8 +93,20 @@ def sets_of(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return h, t, key
 
 
+def binned(h: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """Each set's shingles by bin (sets x BINS)."""
+    at = text.astype(np.int64) * BINS + (h & U64(BINS - 1)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=n * BINS), 255).astype(np.uint8).reshape(n, BINS)
+
+
+def most_shared(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A bound of the overlaps of sets of sizes a and b with bins x and y. Bins that are full only make it larger."""
+    more = x.astype(np.int16) - y
+    return np.minimum(a - np.maximum(more, 0).sum(axis=1), b - np.maximum(-more, 0).sum(axis=1))
+
+
 def read_sets(docs: DataFrame) -> DataFrame:
-    """(kind, doc_id, n, key, payload): per document its set's size and key (kind 0), per task the sketch's counters (kind 1)."""
+    """(kind, doc_id, n, key, payload): per document its set's size, key and bins (kind 0), per task the sketch's counters (kind 1)."""
 
     def emit(batches):
         counters = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -101,8 +115,9 @@ def read_sets(docs: DataFrame) -> DataFrame:
             h, text, key = sets_of(buf, offs)
             counters += np.bincount((h >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counters))
             n = len(key)
+            bins = [x.tobytes() for x in binned(h, text, n)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(n, np.int32)), t.column("doc_id").combine_chunks(), pa.array(np.bincount(text, minlength=n), pa.int64()), pa.array(key.view(np.int64)), pa.nulls(n, pa.binary())],
+                [pa.array(np.zeros(n, np.int32)), t.column("doc_id").combine_chunks(), pa.array(np.bincount(text, minlength=n), pa.int64()), pa.array(key.view(np.int64)), binaries(bins)],
                 names=["kind", "doc_id", "n", "key", "payload"],
             )
         step = 1 << (SKETCH_BITS - 4)
@@ -146,8 +161,8 @@ def subset_keys(n: int, h: np.ndarray, lightest: int) -> list[tuple[int, np.ndar
     return out
 
 
-#: Kinds of what comes out of a bucket: pairs of a list to verify, links of subsets, lists, and how many lists a set is in.
-LIST, SUBSET, MEMBERS, COUNT = 0, 1, 2, 3
+#: Kinds of what comes out of a bucket: pairs of a list to verify, links of subsets, and lists.
+LIST, SUBSET, MEMBERS = 0, 1, 2
 #: Leaders of a list that its sets are linked to at first.
 LEADERS = 8
 
@@ -255,17 +270,15 @@ def _met(light: int):
                 left &= ~led
             rows["size"].append(y - x)
             rows["keys"].append(np.concatenate([k, m.astype(U64)]).tobytes())
-        inside = many[of] & (c == 0)
-        met, times = np.unique(key[inside], return_counts=True)
         table = np.column_stack([np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs]), np.concatenate(kinds).astype(U64)])
         table = np.unique(table, axis=0) if len(table) else table
         k, m = len(table), len(rows["keys"])
         return pd.DataFrame(
             {
-                "kind": np.concatenate([table[:, 2].astype(np.int64), np.full(m, MEMBERS), np.full(len(met), COUNT)]),
-                "a": np.concatenate([np.ascontiguousarray(table[:, 0]).view(np.int64), np.zeros(m, np.int64), met.view(np.int64)]),
-                "b": np.concatenate([np.ascontiguousarray(table[:, 1]).view(np.int64), np.asarray(rows["size"], np.int64), times]),
-                "keys": [None] * k + rows["keys"] + [None] * len(met),
+                "kind": np.concatenate([table[:, 2].astype(np.int64), np.full(m, MEMBERS)]),
+                "a": np.concatenate([np.ascontiguousarray(table[:, 0]).view(np.int64), np.zeros(m, np.int64)]),
+                "b": np.concatenate([np.ascontiguousarray(table[:, 1]).view(np.int64), np.asarray(rows["size"], np.int64)]),
+                "keys": [None] * k + rows["keys"],
             }
         )
 
@@ -278,6 +291,20 @@ def sent_if_few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MOST_SENT else df
 
 
+def possible(pairs: DataFrame, bins: DataFrame) -> DataFrame:
+    """Those of pairs (a, b) of set keys that can link by their bins (key, n, payload)."""
+
+    def run(frames):
+        for pdf in frames:
+            if len(pdf):
+                x, y = (np.frombuffer(b"".join(pdf[c]), np.uint8).reshape(-1, BINS) for c in ("xa", "xb"))
+                a, b = pdf["na"].to_numpy(), pdf["nb"].to_numpy()
+                yield pdf.loc[most_shared(a, x, b, y) >= needed(a, b), ["a", "b"]]
+
+    both = pairs.join(bins.toDF("a", "na", "xa"), "a").join(bins.toDF("b", "nb", "xb"), "b")
+    return staged(both.select("a", "b", "na", "xa", "nb", "xb").mapInPandas(run, "a long, b long"))
+
+
 def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, wide: bool = False) -> DataFrame:
     """Those of pairs (a, b) of set keys whose sets link. reps: (key, doc_id) of a document for each set.
 
@@ -338,18 +365,18 @@ def _set(packed: bytes, wide: bool) -> np.ndarray:
 
 
 def _across(frames):
-    """Pairs of a list's sets that are in different components and can link by size and by how much of them is shared at all."""
+    """Pairs of a list's sets that are in different components and can link by size."""
     for pdf in frames:
         a, b = [], []
         for members in pdf["members"]:
             n = np.array([m["n"] for m in members], np.int64)
             o = np.argsort(n, kind="stable")
             n = n[o]
-            key, root, most = (np.array([m[c] for m in members], np.int64)[o] for c in ("key", "root", "most"))
+            key, root = (np.array([m[c] for m in members], np.int64)[o] for c in ("key", "root"))
             top = np.searchsorted(n, 100 * n // PERCENT, side="right")
             for i in range(len(n)):
                 part = slice(i + 1, top[i])
-                other = np.flatnonzero((root[part] != root[i]) & (np.minimum(most[part], most[i]) >= needed(n[i], n[part]))) + i + 1
+                other = np.flatnonzero(root[part] != root[i]) + i + 1
                 if len(other):
                     a.append(np.full(len(other), key[i]))
                     b.append(key[other])
@@ -380,7 +407,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sure = met.filter(F.col("kind") == SUBSET).select("a", "b")
     pairs = staged(met.filter(F.col("kind") == LIST).select("a", "b").distinct())
     reps_of = reps.select("key", "doc_id")
-    first = staged(sure.union(verified(pairs, reps_of, rows)))
+    heavy = read.filter(f"kind = 0 and n > {light * PERCENT // 100} and doc_id is not null")
+    bins = staged(heavy.select("key", "n", "payload").dropDuplicates(["key"]))
+    first = staged(sure.union(verified(possible(pairs, bins), reps_of, rows)))
     roots = staged(connected_components(first, staged))
     # The lists whose sets are not in one component yet; many lists are alike.
     lists = met.filter(F.col("kind") == MEMBERS).select("keys").distinct().select(F.xxhash64("keys").alias("list"), "keys")
@@ -396,19 +425,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 yield pd.concat(out)
 
     entry = lists.mapInPandas(unpack, "list long, key long, n long")
-    # A shingle in no list is shared with no other set: what is left of a set bounds its overlaps.
-    counts = met.filter(F.col("kind") == COUNT).groupBy("a").agg(F.sum("b").alias("lists")).withColumnRenamed("a", "key")
-    facts = staged(counts.join(roots.select(F.col("node").alias("key"), "root"), "key", "left").select("key", "lists", F.coalesce("root", "key").alias("root")))
-    entry = entry.join(facts, "key")
-    prefix = F.col("n") - F.expr(f"({PERCENT} * n + 99) div 100") + 1
-    entry = entry.withColumn("most", F.col("n") - prefix + F.col("lists")).filter(100 * F.col("most") >= PERCENT * F.col("n")).drop("lists")
+    own = roots.select(F.col("node").alias("key"), "root")
+    entry = entry.join(own, "key", "left").select("list", "key", "n", F.coalesce("root", "key").alias("root"))
     entry = staged(entry)
     released(spark)
     mixed = entry.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("list")
-    grouped = entry.join(mixed, "list").groupBy("list").agg(F.collect_list(F.struct("key", "n", "root", "most")).alias("members"))
+    grouped = entry.join(mixed, "list").groupBy("list").agg(F.collect_list(F.struct("key", "n", "root")).alias("members"))
     rest = grouped.select("members").mapInPandas(_across, "a long, b long").distinct()
     rest = staged(rest.join(pairs, ["a", "b"], "left_anti"))
-    second = verified(rest, reps_of, rows)
+    second = verified(possible(rest, bins), reps_of, rows)
     links = staged(first.union(second))
     more = connected_components(links, staged).select(F.col("node").alias("key"), "root")
     # The least document of each component, then of each class; the small table of components is one of its own, so that large ones can be split.

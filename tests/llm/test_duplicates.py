@@ -110,6 +110,51 @@ def test_components_equal_brute_force(spark):
     assert sorted(got, key=str) == sorted(components(docs), key=str)
 
 
+def ranks(words):
+    """Places of a text's shingles in the order of rarity while all are equally frequent, shingle by shingle."""
+    runs = [" ".join(words[k : k + 5]).encode() for k in range(len(words) - 4)]
+    h, _, _ = jaccard.sets_of(np.frombuffer(b"".join(runs), np.uint8), np.cumsum([0, *map(len, runs)]))
+    return (h & np.uint64((1 << 59) - 1)).tolist()
+
+
+def test_link_behind_a_leader(spark):
+    """x and y link, but meet only in lists that z leads, and most of what they share lies beyond their prefixes."""
+    r = random.Random(8)
+    word = lambda: f"w{r.randrange(10**6)}"
+    common = [word() for _ in range(88)]
+    rank = ranks(common)
+    order = np.argsort(rank)[:5]
+
+    def longer(words, n, good):
+        for _ in range(n):
+            words = next(w for w in iter(lambda: [*words, word()], None) if good(ranks(w[-5:])[0]))
+        return words
+
+    rarer = lambda k: k < min(rank)
+    x, y = longer(common, 1, rarer), longer(common, 16, rarer)
+    top = rank[order[4]]
+    z = [word()]
+    for k in order:
+        run = common[k : k + 5]
+        z = next(w for w in iter(lambda: [*z, *(word() for _ in range(5)), *run], None) if all(v > top for v in ranks(w[len(z) - 4 if len(z) > 4 else 0 : -1])))
+    z = longer(z, 91 - len(z), lambda k: k > top)
+    docs = [(1, " ".join(y)), (2, " ".join(x)), (3, " ".join(z))]
+    assert [(d, n, c) for d, n, c in components(docs)] == [(1, 100, 1), (2, 85, 1), (3, 87, 3)]
+    got = [tuple(x) for x in jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()]
+    assert sorted(got) == sorted(components(docs))
+
+
+def test_bins_never_understate_an_overlap():
+    r = np.random.default_rng(4)
+    for size in (5, 90, 1000, 40_000):
+        every = np.unique(r.integers(0, 1 << 63, 2 * size).astype(np.uint64))
+        for share in (0.0, 0.5, 0.95):
+            a, b = (np.flatnonzero(r.random(len(every)) < max(share, 0.5)) for _ in range(2))
+            x, y = (jaccard.binned(every[k], np.zeros(len(k), np.int64), 1) for k in (a, b))
+            both = len(np.intersect1d(a, b))
+            assert both <= jaccard.most_shared(np.array([len(a)]), x, np.array([len(b)]), y)[0] <= min(len(a), len(b))
+
+
 def test_boundary_follows_cost():
     assert jaccard.boundary({n: 100 for n in range(1, 17)}, scan=0.0) < jaccard.boundary({n: 100 for n in range(1, 17)}, scan=50.0)
     assert all(jaccard.needed(a, b) <= min(a, b) for a in range(1, 40) for b in jaccard.partners(a) if b >= 1 and 100 * min(a, b) >= 80 * max(a, b))
