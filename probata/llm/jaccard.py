@@ -37,7 +37,7 @@ SKETCH_BITS = 20
 LIGHTEST = 16
 BATCH_BYTES = 1 << 20
 BLOCK_BYTES = 16 << 20
-#: Matches by chance that a comparison of 32-bit hashes allows for.
+#: Matches by chance that a comparison of 32-bit hashes allows for at least.
 CHANCE = 8
 #: Bins in which the shingles of a set are counted, up to 255 each.
 BINS = 64
@@ -50,6 +50,12 @@ def needed(a, b):
     return -(-PERCENT * (a + b) // (100 + PERCENT))
 
 
+def chance(n):
+    """Matches by chance to allow for among n 32-bit hashes: the mean, and six deviations with CHANCE more."""
+    mean = n * n / 2.0**33
+    return CHANCE + mean + 6 * mean**0.5
+
+
 def partners(n: int) -> range:
     """Sizes that a set of size n can link with."""
     return range(-(-PERCENT * n // 100), 100 * n // PERCENT + 1)
@@ -344,7 +350,7 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, wide: bool = Fa
                 common = int((both[1:] == both[:-1]).sum())
                 links = lambda m: 100 * m >= PERCENT * (len(both) - m)
                 keep.append(links(common))
-                close.append(not wide and links(common) and not links(common - CHANCE))
+                close.append(not wide and links(common) and not links(common - chance(len(both))))
             yield pd.DataFrame({"a": pdf["a"][keep], "b": pdf["b"][keep], "close": [c for k, c in zip(keep, close, strict=True) if k]})
 
     leaders = sets.join(sent_if_few(pairs.select(F.col("a").alias("key")).distinct()), "key", "left_semi")

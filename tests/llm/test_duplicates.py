@@ -155,6 +155,13 @@ def test_bins_never_understate_an_overlap():
             assert both <= jaccard.most_shared(np.array([len(a)]), x, np.array([len(b)]), y)[0] <= min(len(a), len(b))
 
 
+def test_chance_matches_of_large_sets_are_allowed_for():
+    r = np.random.default_rng(6)
+    for n in (1000, 200_000, 600_000):
+        h = np.sort(r.integers(0, 1 << 32, n))
+        assert (h[1:] == h[:-1]).sum() <= jaccard.chance(n) <= 8 + n * n / 2**32 + 60
+
+
 def test_boundary_follows_cost():
     assert jaccard.boundary({n: 100 for n in range(1, 17)}, scan=0.0) < jaccard.boundary({n: 100 for n in range(1, 17)}, scan=50.0)
     assert all(jaccard.needed(a, b) <= min(a, b) for a in range(1, 40) for b in jaccard.partners(a) if b >= 1 and 100 * min(a, b) >= 80 * max(a, b))
