@@ -4,7 +4,8 @@ Edit distance is turned into Hamming distance by random walks: at each step a wa
 stands on and goes on or stays, as a random bit of that word and step says, so that walks over two texts fall into
 step again after an edit. A repetition samples a few steps; a window is a candidate when all its sampled words are
 those of an item's walk, which is looked up step by step, so that most windows end at the first. Repetitions
-differ in the bits, in the steps sampled and in where in the item they start. Candidates are then verified: the exact edit
+differ in the bits, in the steps sampled and in where in the item they start. Walks never span more than LONGEST words or so; a longer item
+is entered at several starts in each repetition, so that its recall grows with its length. Candidates are then verified: the exact edit
 distance, in words, of the item to the best stretch of the document around the window.
 """
 
@@ -22,6 +23,10 @@ from .textops import LOWER, U64, mix, run_hash, words
 PERCENT_EDITS = 20
 #: Repetitions for each class of window lengths, and sampled steps of each.
 REPETITIONS, SAMPLED = 12, 4
+#: The class of the longest windows; longer items have a start for every so many words in each repetition.
+LONGEST, EVERY = 32, 16
+#: Starts of a shorter item of 8 words or more in each repetition.
+STARTS = 3
 #: Items are sent to the executors in blocks of this many bytes of text; each block is a pass over the documents.
 ITEM_BYTES = 8 << 20
 BATCH_BYTES = 1 << 20
@@ -97,30 +102,37 @@ class Index:
         self.size = size
         self.reps = []
         top = max(1, int(np.ceil(np.log2(size.max(initial=1) + 1))))
-        for low in (1 << k for k in range(top)):
+        # A long item is cut into parts, one start in each; a short one has a few starts.
+        count = np.where(size < 2 * LONGEST, np.where(size < 8, 1, STARTS), (size - LONGEST) // EVERY)
+        which = np.repeat(np.arange(len(size)), count)
+        part_of = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+        for low in (1 << k for k in range(top) if 1 << k <= LONGEST):
             for _ in range(REPETITIONS):
                 reach = max(1, int(1.2 * low))
                 picks = min(SAMPLED - 1, reach)
                 steps = [0, *sorted(rng.choice(np.arange(1, reach + 1), picks, replace=False).tolist())]
                 rep = Repetition(steps, int(rng.integers(63)), int(rng.choice([1, 2, 4, 5, 8, 10, 11, 13, 16, 17, 19, 20])))
-                # An item starts at a random word, up to a third of it in; what is left decides its class.
-                start = (rng.random(len(size)) * np.maximum(1, size // 3 + (size > 3))).astype(np.int64)
-                left = size - start
-                part = np.flatnonzero((left >= low) & (left < 2 * low))
+                # A short item starts at a random word, up to a third of it in; what is left decides its class.
+                some = rng.random(len(which))
+                short = (some * np.maximum(1, size // 3 + (size > 3))[which]).astype(np.int64)
+                start = np.where(size[which] >= 2 * LONGEST, part_of * EVERY + (some * EVERY).astype(np.int64), short)
+                left = size[which] - start
+                part = np.flatnonzero((left >= low) & ((left < 2 * low) | (low == LONGEST)))
                 if not len(part):
                     continue
-                trail = rep.walk(w, begin[part] + start[part], None)
+                item, start = which[part], start[part]
+                trail = rep.walk(w, begin[item] + start, None)
                 rep.tables = []
                 for key in trail:
                     t = np.zeros(1 << 16, bool)
                     t[(key & U64(0xFFFF)).astype(np.int64)] = True
                     rep.tables.append(t)
                 order = np.argsort(trail[-1], kind="stable")
-                rep.last, rep.item, rep.start = trail[-1][order], part[order], start[part][order]
+                rep.last, rep.item, rep.start = trail[-1][order], item[order], start[order]
                 self.reps.append(rep)
 
-    def candidates(self, w: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place where the item would begin, item), distinct."""
+    def candidates(self, w: np.ndarray, places: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, item, place where the item would begin), one for each text, item and stretch of places that the allowed edits span."""
         found = []
         first = (w[places] & U64(0xFFFF)).astype(np.uint16)
         for rep in self.reps:
@@ -129,12 +141,16 @@ class Index:
             n = hi - lo
             if n.any():
                 k = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                found.append(np.column_stack([np.repeat(at, n) - rep.start[k], rep.item[k]]))
+                hit = np.repeat(at, n)
+                found.append(np.column_stack([np.searchsorted(begin, hit, side="right") - 1, rep.item[k], hit - rep.start[k]]))
         if not found:
             z = np.zeros(0, np.int64)
-            return z, z
-        both = np.unique(np.concatenate(found), axis=0)
-        return both[:, 0], both[:, 1]
+            return z, z, z
+        own, item, place = np.unique(np.concatenate(found), axis=0).T
+        # Windows are verified with twice the allowed edits of room, so that places as near as the allowed edits need one check.
+        span = place // (self.size[item] * PERCENT_EDITS // 100 + 1)
+        new = np.concatenate([[True], (own[1:] != own[:-1]) | (item[1:] != item[:-1]) | (span[1:] != span[:-1])])
+        return own[new], item[new], place[new]
 
     def verified(self, w: np.ndarray, first: np.ndarray, last: np.ndarray, place: np.ndarray, item: np.ndarray):
         """(text, item, edits, place) of the candidates that are within the allowed edits; first and last bound the words of each candidate's text."""
@@ -188,18 +204,10 @@ def leaks_in(index: Index, buf: np.ndarray, offs: np.ndarray):
     word, text = plain_words(buf, offs)
     w, begin = marked(word, text, n)
     places = np.arange(len(word)) + text
-    place, item = index.candidates(w, places)
+    own, item, place = index.candidates(w, places, begin)
     z = np.zeros(0, np.int64)
     if not len(place):
         return z, z, z, z
-    # A window may begin before its text by what was edited away; its first sampled word stands inside.
-    own = np.clip(np.searchsorted(begin, np.maximum(place, 0), side="right") - 1, 0, n - 1)
-    parts = [(own, place, item)]
-    # Such a window belongs to the next text.
-    late = place + index.size[item] // 3 >= begin[own + 1]
-    late &= own + 1 < n
-    parts.append((own[late] + 1, place[late], item[late]))
-    own, place, item = (np.concatenate([p[k] for p in parts]) for k in range(3))
     good, edits = index.verified(w, begin[own], begin[own + 1] - 1, place, item)
     own, place, item, edits = own[good], place[good], item[good], edits[good]
     o = np.lexsort((place, edits, item, own))

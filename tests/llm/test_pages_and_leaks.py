@@ -175,3 +175,20 @@ def test_words_without_marks():
     word, text = decontaminate.plain_words(buf, offs)
     a, _ = decontaminate.plain_words(*text_buffers(pa.array(["the été the"])))
     assert text.tolist() == [0, 0, 0, 2, 2] and word[:3].tolist() == a.tolist() and word[3] == word[4]
+
+
+def test_recall_does_not_fall_with_length():
+    r = random.Random(3)
+    word = lambda: f"w{r.randrange(3000)}"
+    for n in (40, 60, 100, 200, 500):
+        items = [[word() for _ in range(n)] for _ in range(40)]
+        docs = []
+        for item in items:
+            w = list(item)
+            for _ in range(n // 5):
+                i, how = r.randrange(len(w)), r.random()
+                w[i : i + (how < 0.33 or how >= 0.66)] = [f"zq{r.randint(0, 9)}"] if how < 0.66 else []
+            docs.append(" ".join([*(word() for _ in range(30)), *w, *(word() for _ in range(30))]))
+        index = decontaminate.Index(list(range(40)), [" ".join(w) for w in items])
+        own, item, edits, _ = decontaminate.leaks_in(index, *text_buffers(pa.array(docs, pa.large_string())))
+        assert (own == item).sum() >= 0.93 * 40 and (edits <= n // 5).all()
