@@ -1,7 +1,8 @@
 """Line dedup: a deletion-neighbourhood join of lines, in DataFrame functions only.
 
-A line is its sequence of words. Lines of MIN_WORDS or more count as repeated when equal, and from NEAR_WORDS on
-also within one edit (a word put in, left out or exchanged). A line goes if an earlier one, by doc_id
+A line is its sequence of words. Lines of MIN_WORDS or more (all that are not blank) count as repeated when equal, and from NEAR_WORDS on
+also within one edit (a word put in, left out or exchanged); if either has fewer than FREE_WORDS, the edit must be a small part of
+its characters too. A line goes if an earlier one, by doc_id
 and line number, is such a repeat; all are judged on the input. Equal lines meet by their hash. For the others,
 a line has a variant for each word left out and each gap between words, keyed by place and
 by hashes of what stands before and after. Two lines are one exchange apart when they share a left-out
@@ -17,8 +18,10 @@ from pyspark.sql import functions as F
 
 from .common import staged
 
-MIN_WORDS = 5
-NEAR_WORDS = 10
+MIN_WORDS = 1
+NEAR_WORDS = 3
+#: From here on an edit may be of any word; in shorter lines, of one in so many characters (blanks not counted) at most.
+FREE_WORDS, CHARACTERS = 10, 4
 #: As many rows of keys and places (48 bytes each) are sent to all executors at most; beyond that, they are joined by a shuffle.
 MOST_SENT = 1 << 20
 #: Lines of a document at most, for the place of a line as one number.
@@ -77,6 +80,14 @@ def one_edit(a: Column, a_cut: Column, b: Column, at: Column) -> Column:
     return F.when(F.size(a) == F.size(b), out(a) == out(b)).when(F.size(a) > F.size(b), out(a) == b).otherwise(a == out(b)) & (F.abs(F.size(a) - F.size(b)) <= 1) & a_cut.isNotNull()
 
 
+def small_edit(a: Column, b: Column, at: Column) -> Column:
+    """Whether a and b, one edit apart at a place, are long or the edit is a small part of the longer one's characters."""
+    size = lambda w: F.length(F.array_join(w, ""))
+    exchanged = F.levenshtein(F.get(a, at), F.get(b, at))
+    cost = F.when(F.size(a) == F.size(b), exchanged).otherwise(F.abs(size(a) - size(b)))
+    return (F.least(F.size(a), F.size(b)) >= FREE_WORDS) | (CHARACTERS * cost <= F.greatest(size(a), size(b)))
+
+
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, row, gone): the numbers of the lines that go, from 0, for each row that loses any."""
     lines = lines_of(docs)
@@ -103,7 +114,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     met = met.select("place", "cut", "at", F.explode(earlier).alias("by")).distinct()
     mine = near_lines.select("place", "hash", F.col("words").alias("a"))
     theirs = near_lines.select(F.col("place").alias("by"), F.col("words").alias("b"))
-    changed = met.join(mine, "place").join(theirs, "by").filter(one_edit(F.col("a"), F.col("cut"), F.col("b"), F.col("at"))).select("hash").distinct().withColumn("near", F.lit(True))
+    changed = met.join(mine, "place").join(theirs, "by").filter(one_edit(F.col("a"), F.col("cut"), F.col("b"), F.col("at")) & small_edit(F.col("a"), F.col("b"), F.col("at"))).select("hash").distinct().withColumn("near", F.lit(True))
     # Lines with an equal one elsewhere, or one edit from an earlier one, are few beside all.
     known = distinct.join(changed, "hash", "left").filter("last <> place or near").select("hash", F.col("place").alias("kept"), F.coalesce("near", F.lit(False)).alias("near"))
     gone = each.select("doc_id", "row", "pos", "place", "hash").join(sent_if_few(known), "hash").filter("near or place <> kept")
@@ -113,7 +124,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs with n_lines, n_removed, and text without the lines that an earlier line repeats; other columns stay.
 
-    Null texts and rows without doc_id pass unchanged, and their lines repeat nothing. Empty and short lines
+    Null texts and rows without doc_id pass unchanged, and their lines repeat nothing. Blank lines
     stay. A row that is repeated as a whole is one row: lines at the same place of the same doc_id do not
     repeat each other. Columns named n_lines or n_removed are replaced.
     """

@@ -231,3 +231,11 @@ def test_line_dedup_keeps_columns_and_runs_no_python(spark):
 
 def test_line_dedup_of_nothing(spark):
     assert linededup.report(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_short_lines_repeat(spark):
+    text = ["Read more", "x", "All rights reserved today", "", "Thank you John", "one two three four five six", ""]
+    again = ["Read more", "x", "All rights reserved todays", "", "Thank you Mary", "one two three four fives six", "Read on"]
+    df = spark.createDataFrame([(1, "\n".join(text)), (2, "\n".join(again))], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"].split("\n") for r in linededup.deduplicated(df).collect()}
+    assert got == {1: text, 2: ["", "Thank you Mary", "Read on"]}
