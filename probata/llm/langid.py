@@ -137,8 +137,6 @@ def mixtures(buf: np.ndarray, offs: np.ndarray, logp: np.ndarray, rounds: int =
         value = likelihood(few) - m * penalty * np.log(total + 1)
         better = value > best_value
         best[:, better], best_value[better] = few[:, better], value[better]
-        if not better.any():
-            break
     out[texts] = best.T
     return out
 
