@@ -30,13 +30,13 @@ def edges(triangles: DataFrame) -> DataFrame:
     return e.select("mesh", "face", F.least("e.p", "e.q").alias("u"), F.greatest("e.p", "e.q").alias("v"), (F.col("e.p") < F.col("e.q")).alias("forward"))
 
 
-def face_components(triangles: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def face_components(triangles: DataFrame) -> DataFrame:
     """(mesh, face, component): triangles that share an edge; a component is named by its least face."""
     e = edges(triangles)
     star = e.groupBy("mesh", "u", "v").agg(F.min("face").alias("first"))
     node = lambda c: F.struct("mesh", F.col(c).alias("face"))
     links = e.join(star, ["mesh", "u", "v"]).filter("face <> first").select(node("first").alias("p"), node("face").alias("q"))
-    parts = connected_components(links, cut)
+    parts = connected_components(links)
     return triangles.select("mesh", "face", node("face").alias("node")).join(parts, "node", "left").select("mesh", "face", F.coalesce(F.col("root.face"), F.col("face")).alias("component"))
 
 

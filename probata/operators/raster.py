@@ -46,7 +46,7 @@ def without_background(pixels: DataFrame, tolerance: int, cut: Callable[[DataFra
     links = passing.select(F.struct("asset", "x", "y").alias("u"), "asset", F.explode(F.array(F.struct((F.col("x") + 1).alias("x"), "y"), F.struct("x", (F.col("y") + 1).alias("y")))).alias("n"))
     links = links.select("u", F.struct("asset", F.col("n.x").alias("x"), F.col("n.y").alias("y")).alias("v"))
     links = links.join(passing.select(F.struct("asset", "x", "y").alias("v")), "v", "left_semi").select("u", "v")
-    parts = cut(connected_components(links, cut))
+    parts = cut(connected_components(links))
     rooted = passing.select(F.struct("asset", "x", "y").alias("node")).join(parts, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     hit = rooted.join(seeds.select(F.struct("asset", "x", "y").alias("node")), "node", "left_semi").select("root").distinct()
     gone = rooted.join(hit, "root", "left_semi").select(F.col("node.asset").alias("asset"), F.col("node.x").alias("x"), F.col("node.y").alias("y"), F.lit(True).alias("_gone"))

@@ -5,16 +5,29 @@ from __future__ import annotations
 import atexit
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no folder, as in tests.
+#: Used only by local sessions that name no folder, as in tests.
 DEFAULT_DIR = "/tmp/checkpoints"
 
+#: What to call for each table that is still there, by its path.
+_there: dict[str, object] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, or else the checkpoint folder of the context; an error on a cluster that names neither."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if path:
+        return path
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return DEFAULT_DIR
+
 
 def cut(df: DataFrame) -> DataFrame:
-    """Writes df as a table below spark.checkpoint.dir and reads it back, which ends its lineage; it goes with the driver."""
+    """Writes df as a table in the shared folder and reads it back, which ends its lineage; it goes with dropped, or with the driver."""
     spark = df.sparkSession
-    path = f"{spark.conf.get('spark.checkpoint.dir', None) or DEFAULT_DIR}/probata/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/probata/{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -26,5 +39,23 @@ def cut(df: DataFrame) -> DataFrame:
         except Exception:  # the session may have ended first
             pass
 
-    atexit.register(remove)
-    return spark.read.schema(schema).parquet(path)
+    _there[path] = remove
+    out = spark.read.schema(schema).parquet(path)
+    out.cut_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes tables that cut wrote, once nothing that is yet to run reads them."""
+    for t in tables:
+        remove = _there.pop(getattr(t, "cut_at", None), None)
+        if remove is not None:
+            remove()
+
+
+def _all_dropped() -> None:
+    while _there:
+        _there.popitem()[1]()
+
+
+atexit.register(_all_dropped)

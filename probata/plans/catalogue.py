@@ -400,7 +400,7 @@ def connected_components(spark, d):
     e = _t(spark, d, "events").select("event_id", "user_id")
     after = e.select((F.col("event_id") - 1).alias("event_id"), F.col("user_id").alias("v"))
     links = e.filter("event_id % 3 = 0").join(after, "event_id").select(F.col("user_id").alias("u"), "v")
-    return graph.connected_components(links, cut)
+    return graph.connected_components(links)
 
 
 @_query("""

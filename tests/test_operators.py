@@ -21,7 +21,7 @@ def cut(tmp_path):
     return write
 
 
-def test_components_equal_brute_force(spark, cut):
+def test_components_equal_brute_force(spark):
     r = random.Random(1)
     links = [(r.randint(0, 60), r.randint(0, 60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)] + [(5, 5), (None, 3)]
     parent = {}
@@ -35,7 +35,7 @@ def test_components_equal_brute_force(spark, cut):
         if a is not None and a != b:
             x, y = find(a), find(b)
             parent[max(x, y)] = min(x, y)
-    got = {x["node"]: x["root"] for x in graph.connected_components(spark.createDataFrame(links, "a long, b long"), cut).collect()}
+    got = {x["node"]: x["root"] for x in graph.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for x in parent}
 
 
@@ -209,7 +209,7 @@ def cube(mesh_id, flip=False):
     return v, [(mesh_id, i, *(x[::-1] if flip else x)) for i, x in enumerate(t)]
 
 
-def test_mesh_components(spark, cut):
+def test_mesh_components(spark):
     v1, t1 = cube("out")
     v2, t2 = cube("in", flip=True)
     v3, t3 = cube("two")
@@ -217,7 +217,7 @@ def test_mesh_components(spark, cut):
     more = [("two", i + 12, a + 8, b + 8, c + 8) for _, i, a, b, c in t3[:-1]]
     v = spark.createDataFrame(v1 + v2 + v3 + far, "mesh string, v int, x double, y double, z double")
     t = spark.createDataFrame(t1 + t2 + t3 + more, "mesh string, face int, a int, b int, c int")
-    facts = {(r["mesh"], r["component"]): r for r in mesh.component_facts(t, v, mesh.face_components(t, cut)).collect()}
+    facts = {(r["mesh"], r["component"]): r for r in mesh.component_facts(t, v, mesh.face_components(t)).collect()}
     assert sorted(facts) == [("in", 0), ("out", 0), ("two", 0), ("two", 12)]
     assert (facts["out", 0]["orientation"], facts["in", 0]["orientation"]) == ("outward", "inward")
     assert abs(facts["out", 0]["volume"] - 1) < 1e-9 and facts["out", 0]["closed"] and facts["out", 0]["consistent"]
