@@ -2,50 +2,21 @@
 
 from __future__ import annotations
 
-import atexit
 import gc
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no shared folder, as in tests.
-DEFAULT_CHECKPOINT_DIR = "/tmp/checkpoints"
+from probata.operators.staging import cut as staged  # noqa: F401
+from probata.operators.staging import dropped  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session."""
-    return spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_CHECKPOINT_DIR
-
-
-def staged(df: DataFrame) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back, which cuts its lineage.
-
-    The table goes when the driver ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/probata/{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-
-    def remove() -> None:
-        try:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
-        except Exception:  # the session may have ended first
-            pass
-
-    atexit.register(remove)
-    return spark.read.schema(schema).parquet(path)
-
-
 def released(spark: SparkSession) -> None:
     """Lets go of the shuffle files of finished stages, which Spark frees when the driver's collector meets their plans."""
     gc.collect()

@@ -416,7 +416,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     heavy = read.filter(f"kind = 0 and n > {light * PERCENT // 100} and doc_id is not null")
     bins = staged(heavy.select("key", "n", "payload").dropDuplicates(["key"]))
     first = staged(sure.union(verified(possible(pairs, bins), reps_of, rows)))
-    roots = staged(connected_components(first, staged))
+    roots = staged(connected_components(first))
     # The lists whose sets are not in one component yet; many lists are alike.
     lists = met.filter(F.col("kind") == MEMBERS).select("keys").distinct().select(F.xxhash64("keys").alias("list"), "keys")
 
@@ -441,7 +441,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = staged(rest.join(pairs, ["a", "b"], "left_anti"))
     second = verified(possible(rest, bins), reps_of, rows)
     links = staged(first.union(second))
-    more = connected_components(links, staged).select(F.col("node").alias("key"), "root")
+    more = connected_components(links).select(F.col("node").alias("key"), "root")
     # The least document of each component, then of each class; the small table of components is one of its own, so that large ones can be split.
     in_parts = staged(reps.join(more, "key"))
     least = staged(in_parts.groupBy("root").agg(F.min("doc_id").alias("least")))

@@ -124,18 +124,18 @@ ORACLES = {
     """,
     "op10_topk": """
         with v as (
-            select distinct vec_id, list_transform(embedding, lambda e: floor(1024 * e::double)::bigint) as x
+            select row_number() over () as r, vec_id, list_transform(embedding, lambda e: floor(1024 * e::double)::bigint) as x
             from embeddings
             where vec_id is not null and embedding is not null
               and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0
         ), s as (
-            select q.vec_id as query_id, q.x as q_x, c.vec_id,
+            select q.vec_id as query_id, q.r as q_r, c.vec_id, c.r,
                    list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::bigint as score
-            from v q join v c on (q.vec_id <> c.vec_id or q.x <> c.x) and len(q.x) = len(c.x)
+            from v q join v c on q.r <> c.r and len(q.x) = len(c.x)
             where q.vec_id % 100 = 0
-        ), r as (
-            select *, row_number() over (partition by query_id, q_x order by score desc, vec_id)::int as rank from s
+        ), ranked as (
+            select *, row_number() over (partition by q_r order by score desc, vec_id, r)::int as rank from s
         )
-        select query_id, rank, vec_id, score from r where rank <= 10
+        select query_id, rank, vec_id, score from ranked where rank <= 10
     """,
 }

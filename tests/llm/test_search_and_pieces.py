@@ -7,34 +7,58 @@ from probata.llm import pieces, topk
 from probata.llm.queries import piece_model
 
 
+def best_rows(rows, k=10, every=100):
+    """The k best rows of every query row, each pair looked at."""
+    top = np.iinfo(np.int64)
+    fine = [(i, [max(top.min, min(top.max, math.floor(1024 * float(x)))) for x in v]) for i, v, *_ in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for a, (q, x) in enumerate(fine):
+        if q % every == 0:
+            score = lambda y: max(top.min, min(top.max, sum(s * t for s, t in zip(x, y, strict=True))))  # noqa: E731,B023
+            found = sorted((-score(y), i) for b, (i, y) in enumerate(fine) if a != b and len(y) == len(x))[:k]
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found)]
+    return sorted(out)
+
+
 def test_top_k_equals_brute_force(spark):
     r = np.random.default_rng(5)
     rows = [(i, [float(x) for x in r.normal(size=12)], i % 3, "k", i) for i in range(700)]
     rows += [(700, rows[0][1], 0, "k", 0), (701, rows[0][1], 0, "k", 0), rows[100], (800, None, 0, "k", 0), (801, [None] + rows[0][1][1:], 0, "k", 0)]
-    rows += [(900, [math.nan] + rows[0][1][1:], 0, "k", 0), (1000, [math.inf] * 12, 0, "k", 0), (None, rows[3][1], 0, "k", 0), (1100, [1.0, 2.0], 0, "k", 0), (1200, [], 0, "k", 0)]
+    rows += [(900, [math.nan] + rows[0][1][1:], 0, "k", 0), (1000, [math.inf] * 12, 0, "k", 0), (None, rows[3][1], 0, "k", 0), (1100, [1.0, 2.0], 0, "k", 0), (1200, [], 0, "k", 0), (1300, [], 0, "k", 0)]
+    # Rows alike in id and vector, some as often as a result is long; one id with two vectors.
+    rows += [rows[200]] * 3 + [rows[205]] * 12 + [(300, rows[7][1], 0, "k", 0)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, key string, score int").repartition(3)
-    got = [tuple(x) for x in topk.top_k(df, k=10, every=100, block_rows=128, block_queries=3).collect()]
-    fine = {}
-    for i, v, *_ in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            fine[i] = np.floor(1024 * np.array(v)).astype(np.int64)
-    want = []
-    for q, x in fine.items():
-        if q % 100 == 0:
-            found = sorted((-int(x @ y), i) for i, y in fine.items() if i != q and len(y) == len(x))[:10]
-            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found)]
-    assert sorted(got) == sorted(want)
+    for blocks in ({"stripe_rows": 128, "batch_queries": 3, "block_rows": 50}, {}):
+        assert sorted(tuple(x) for x in topk.top_k(df, k=10, every=100, **blocks).collect()) == best_rows(rows)
+
+
+def test_scores_beyond_floats(spark):
+    """Products beyond 2**53 are told apart to the last digit, those beyond 64 bits count as the nearest number."""
+    r = np.random.default_rng(6)
+    big = [(i, [float(x) for x in r.integers(2**18, 2**18 + 4, 6) + i / 1024]) for i in range(300)]
+    huge = [(1000 + i, [float(x) for x in r.choice([1e9, -1e9, 3e37, 1e30], 5)]) for i in range(200)]
+    rows = big + huge
+    got = [tuple(x) for x in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block_rows=64).collect()]
+    assert sorted(got) == best_rows(rows)
+    assert max(abs(s) for *_, s in got) == 2**63 - 1 and any(2**53 < abs(s) < 2**62 for *_, s in got)
 
 
-def test_block_top_keeps_the_best():
+def test_candidates_hold_the_best():
     r = np.random.default_rng(1)
     x = r.integers(-900, 900, (1500, 8)).astype(float)
-    order = np.argsort(x, axis=0, kind="stable").astype(np.int32)
-    value = np.take_along_axis(x, order, axis=0)
-    for q in r.integers(-900, 900, (20, 8)).astype(float):
-        at = topk.block_top(q, x, order, value, 10, -1)
-        assert len(at) < 1500
-        assert sorted((x @ q)[at])[-10:] == sorted(x @ q)[-10:]
+    x[:200] *= 6
+    q = r.integers(-900, 900, (20, 8)).astype(float)
+    score = q @ x.T
+    none = np.full(20, -1)
+    for bar in (np.full(20, -np.inf), np.sort(score, axis=1)[:, -4]):
+        pairs = topk.candidates(q, x, none, bar, 10)
+        for i in range(20):
+            mine = set(pairs[pairs[:, 0] == i, 1].tolist())
+            best = [j for j in np.argsort(-score[i], kind="stable")[:10].tolist() if score[i, j] >= bar[i]]
+            assert mine >= set(best) and len(mine) <= 40
+    # Lists that tell rows apart early are not read to the end.
+    steep = np.sort(r.integers(0, 10**6, (1500, 2)).astype(float), axis=0)
+    assert len(topk.candidates(np.ones((1, 2)), steep, none[:1], np.array([-np.inf]), 10, depths=(1 / 16,))) < 100
 
 
 def test_top_k_of_nothing(spark):
