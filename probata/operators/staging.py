@@ -24,27 +24,29 @@ def shared_dir(spark: SparkSession) -> str:
     return DEFAULT_DIR
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back, which ends its lineage; it goes with dropped, or with the driver."""
+def cut(df: DataFrame, *by: str) -> DataFrame:
+    """Writes df as a table in the shared folder and reads it back, which ends its lineage; it goes with dropped, or with the driver.
+
+    With by, it lies in a folder for each value of those columns.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/probata/{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-
-    def remove() -> None:
-        try:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
-        except Exception:  # the session may have ended first
-            pass
-
-    _there[path] = remove
+    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
+    _there[path] = lambda: _removed(spark, path)
     out = spark.read.schema(schema).parquet(path)
     out.cut_at = path
     return out
 
 
+def _removed(spark: SparkSession, path: str) -> None:
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the session may have ended first
+        pass
+
+
 def dropped(*tables: DataFrame) -> None:
     """Removes tables that cut wrote, once nothing that is yet to run reads them."""
     for t in tables:
@@ -53,6 +55,12 @@ def dropped(*tables: DataFrame) -> None:
             remove()
 
 
+def thinned(table: DataFrame, folder: str) -> None:
+    """Removes the folder of one value, as name=value, of a table that cut wrote by that column; reading it later is an error or finds no rows."""
+    if getattr(table, "cut_at", None) in _there:
+        _removed(table.sparkSession, f"{table.cut_at}/{folder}")
+
+
 def _all_dropped() -> None:
     while _there:
         _there.popitem()[1]()
