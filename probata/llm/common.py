@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probata.operators.staging import cut as staged  # noqa: F401
-from probata.operators.staging import dropped  # noqa: F401
+from probata.operators.staging import dropped, thinned  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bucket_bits(docs: DataFrame, bucket_bytes: int, least: int) -> int:
+    """log2 of the number of buckets for the texts of docs: four for each shuffle partition, and one for so many bytes at least."""
+    size = 4 * int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())  # files are packed
+    if size >= 1 << 60:  # not known
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(least, int(np.ceil(np.log2(max(4 * shuffle_partitions(docs.sparkSession), size / bucket_bytes)))))
+
+
 def text_buffers(col) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary Arrow column, without a copy where possible."""
     if isinstance(col, pa.ChunkedArray):
