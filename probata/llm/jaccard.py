@@ -5,8 +5,10 @@ classes are what is joined. Two sets link when their overlap reaches a bound tha
 (few shingles) emit their subsets of that fixed size: two light sets with a common subset link, without more ado.
 Heavy sets are found through inverted lists over the part of a set that linked sets must share, rarest
 shingles first by a sketch of fixed size; pairs met in a list are verified on the whole sets. The size between light and
-heavy is where subsets would cost more than lists. The sets of a list are first
-linked to those with the fewest rarer shingles; then every pair of a list that is not yet in one component is verified too. Before sets
+heavy is where subsets would cost more than lists. Two linked sets are met in the list of their rarest common shingle, where neither can
+share more than what stands from its place on; members that cannot reach any other's size so leave a list, and pairs that cannot are not made. All
+pairs of a short list are verified. The sets of a long one are first linked to the few with the smallest share of rare shingles, which are the same in all
+lists of a group; then every pair of a list that is not yet in one component is verified too, long lists being dealt in chunks. Before sets
 are compared, a pair must be able to link by its bins: each set has its shingles counted by a few bits of their hashes, and what one set has
 more of in a bin cannot be shared. So no link between components is lost, though pairs within them are not all looked at.
 """
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from probata.operators.graph import connected_components
 
-from .common import binaries, gathered, released, shuffle_partitions, staged, text_buffers
+from .common import binaries, bucket_bits, dropped, gathered, released, shuffle_partitions, staged, text_buffers
 from .suffixes import _bucket_rows, _packed, _unpacked
 from .textops import LOWER, U64, mix, run_hash, shingles, words
 
@@ -37,6 +39,8 @@ SKETCH_BITS = 20
 LIGHTEST = 16
 BATCH_BYTES = 1 << 20
 BLOCK_BYTES = 16 << 20
+#: Text for which there is one bucket of lists at least.
+BUCKET_BYTES = 128 << 20
 #: Matches by chance that a comparison of 32-bit hashes allows for at least.
 CHANCE = 8
 #: Bins in which the shingles of a set are counted, up to 255 each.
@@ -56,6 +60,11 @@ def chance(n):
     return CHANCE + mean + 6 * mean**0.5
 
 
+def partner_sizes(n: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(least, largest) size of a set with which a set of size n can link, if the first common shingle stands at a place in it."""
+    return -(-PERCENT * n // 100), np.minimum(100 * n // PERCENT, (100 + PERCENT) * (n - place) // PERCENT - n)
+
+
 def partners(n: int) -> range:
     """Sizes that a set of size n can link with."""
     return range(-(-PERCENT * n // 100), 100 * n // PERCENT + 1)
@@ -167,10 +176,10 @@ def subset_keys(n: int, h: np.ndarray, lightest: int) -> list[tuple[int, np.ndar
     return out
 
 
-#: Kinds of what comes out of a bucket: pairs of a list to verify, links of subsets, and lists.
+#: Kinds of what comes out of a bucket: pairs to verify, links of subsets, and members of long lists.
 LIST, SUBSET, MEMBERS = 0, 1, 2
-#: Leaders of a list that its sets are linked to at first.
-LEADERS = 8
+#: Lists up to this length give all their pairs; leaders of a longer one that its sets are linked to at first; members that a row holds.
+SHORT, LEADERS, CHUNK = 4, 8, 1024
 
 
 def list_entries(docs: DataFrame, level: np.ndarray, light: int, bits: int) -> DataFrame:
@@ -182,13 +191,13 @@ def list_entries(docs: DataFrame, level: np.ndarray, light: int, bits: int) -> D
         held, size = [], 0
 
         def flush():
-            token, key, n, c, p = (np.concatenate([x[k] for x in held]) for k in range(5))
+            token, key, n, c, p, rare = (np.concatenate([x[k] for x in held]) for k in range(6))
             where = mix(token)
             o = np.argsort(where)
             where = where[o]
             rows = _bucket_rows(where, bits)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), binaries([_packed(np.diff(where[a:b], prepend=U64(0)), key[o[a:b]], n[o[a:b]].astype(np.int32), c[o[a:b]].astype(np.uint8), p[o[a:b]].astype(np.int32)) for _, a, b in rows])],
+                [pa.array([r[0] for r in rows], pa.int32()), binaries([_packed(np.diff(where[a:b], prepend=U64(0)), key[o[a:b]], n[o[a:b]].astype(np.int32), c[o[a:b]].astype(np.uint8), p[o[a:b]].astype(np.int32), rare[o[a:b]].astype(np.uint8)) for _, a, b in rows])],
                 names=["bucket", "payload"],
             )
 
@@ -203,7 +212,9 @@ def list_entries(docs: DataFrame, level: np.ndarray, light: int, bits: int) -> D
                     seen.add(k)
                     fresh[i] = True
             # Rarest first, then by hash.
-            order = (sent.value[(h >> U64(64 - SKETCH_BITS)).astype(np.int64)].astype(U64) << U64(59)) | (h & U64((1 << 59) - 1))
+            height = sent.value[(h >> U64(64 - SKETCH_BITS)).astype(np.int64)]
+            order = (height.astype(U64) << U64(59)) | (h & U64((1 << 59) - 1))
+            rare = 255 * np.bincount(text, weights=height == 0, minlength=len(key)).astype(np.int64) // np.maximum(n, 1)
             cut = np.searchsorted(text, np.arange(len(key) + 1))
             takes = fresh & (n >= shared)
             parts, who, places = [], [], []
@@ -217,14 +228,14 @@ def list_entries(docs: DataFrame, level: np.ndarray, light: int, bits: int) -> D
                 places.append(np.arange(len(part)))
             if parts:
                 token, w = mix(np.concatenate(parts)), np.concatenate(who)
-                held.append((token, key[w], n[w], np.zeros(len(w), np.int64), np.concatenate(places)))
+                held.append((token, key[w], n[w], np.zeros(len(w), np.int64), np.concatenate(places), rare[w]))
             for m in range(1, light + 1):
                 some = np.flatnonzero(fresh & (n == m))
                 if len(some):
                     sets = h[cut[some][:, None] + np.arange(m)]
                     for c, keys in subset_keys(m, sets, light):
                         k = keys.shape[1]
-                        held.append((keys.ravel(), np.repeat(key[some], k), np.full(k * len(some), m), np.full(k * len(some), c), np.zeros(k * len(some), np.int64)))
+                        held.append((keys.ravel(), np.repeat(key[some], k), np.full(k * len(some), m), np.full(k * len(some), c), *np.zeros((2, k * len(some)), np.int64)))
             size += len(buf)
             if size >= BLOCK_BYTES:
                 if held:
@@ -236,54 +247,83 @@ def list_entries(docs: DataFrame, level: np.ndarray, light: int, bits: int) -> D
     return docs.select("text").mapInArrow(emit, "bucket int, payload binary")
 
 
+def _groups(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1], [True]])) if len(values) else np.zeros(1, np.int64)
+
+
 def _met(light: int):
-    """Of a bucket: links of light sets, the pairs to verify first, and the lists."""
+    """Of a bucket: links of light sets, pairs to verify, and members of long lists (a: the list, b: which part of it)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [_unpacked(x, "<u8", "<u8", "<i4", "u1", "<i4") for x in pdf["payload"]]
+        parts = [_unpacked(x, "<u8", "<u8", "<i4", "u1", "<i4", "u1") for x in pdf["payload"]]
         token = np.concatenate([np.cumsum(p[0], dtype=U64) for p in parts])
-        key, n, c, place = (np.concatenate([p[k] for p in parts]) for k in range(1, 5))
-        n = n.astype(np.int64)
+        key, n, c, place, rare = (np.concatenate([p[k] for p in parts]) for k in range(1, 6))
+        n, place = n.astype(np.int64), place.astype(np.int64)
         o = np.lexsort((key, n, token, c))
-        token, key, n, c, place = token[o], key[o], n[o], c[o], place[o]
-        new = np.concatenate([[True], (token[1:] != token[:-1]) | (c[1:] != c[:-1])])
-        once = new | np.concatenate([[True], key[1:] != key[:-1]])
-        token, key, n, c, place, new = token[once], key[once], n[once], c[once], place[once], new[once]
-        cut = np.flatnonzero(np.append(new, True))
-        of = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
-        many = np.diff(cut) > 1
-        first = cut[:-1][of]
+        once = np.ones(len(o), bool)
+        once[1:] = (token[o][1:] != token[o][:-1]) | (c[o][1:] != c[o][:-1]) | (key[o][1:] != key[o][:-1])
+        token, key, n, c, place, rare = (x[o[once]] for x in (token, key, n, c, place, rare))
+        subsets = slice(int(np.searchsorted(c, 1)), len(c))
+        kinds, pairs = [], []
+
+        def put(kind: int, a: np.ndarray, b: np.ndarray) -> None:
+            pairs.append((a, b))
+            kinds.append(np.full(len(a), kind))
+
         # Light sets with a common subset link if it is as large as their sizes ask for.
-        sub = many[of] & (c > 0) & (np.arange(len(key)) != first) & (needed(n, n[first]) <= c)
-        a, b = key[first[sub]], key[sub]
-        kinds = [np.full(len(a), SUBSET)]
-        pairs = [(a, b)]
-        rows = {"kind": [], "a": [], "b": [], "size": [], "keys": []}
-        lists = np.flatnonzero(many & (c[cut[:-1]] == 0))
-        for x, y in zip(cut[lists].tolist(), cut[lists + 1].tolist(), strict=True):
-            m, k, at = n[x:y], key[x:y], place[x:y]
-            # The set with the fewest rarer shingles leads those that it can link with by size; then the next of the rest, a few times.
-            left = np.ones(y - x, bool)
+        size, at = n[subsets], token[subsets]
+        cut = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (c[subsets][1:] != c[subsets][:-1]), [True]])) if len(at) else np.zeros(1, np.int64)
+        first = np.repeat(cut[:-1], np.diff(cut))
+        sub = (np.arange(len(at)) != first) & (needed(size, size[first]) <= c[subsets])
+        put(SUBSET, key[subsets][first[sub]], key[subsets][sub])
+        # Lists, without the members that can link with no other by their places.
+        token, key, n, place, rare = (x[: subsets.start] for x in (token, key, n, place, rare))
+        lo, hi = partner_sizes(n, place)
+        for _ in range(3):
+            cut = _groups(token)
+            many = np.diff(cut)
+            if not len(many):
+                break
+            least, most = (np.repeat(f.reduceat(n, cut[:-1]), many) for f in (np.minimum, np.maximum))
+            stay = (hi >= least) & (lo <= most) & np.repeat(many > 1, many)
+            token, key, n, lo, hi, rare = (x[stay] for x in (token, key, n, lo, hi, rare))
+        cut = _groups(token)
+        many = np.diff(cut)
+        fits = lambda i, j: (n[j] >= lo[i]) & (n[j] <= hi[i]) & (n[i] >= lo[j]) & (n[i] <= hi[j])
+        # In pairs, the set with the smaller share of rare shingles comes first.
+        before = lambda i, j: (rare[i] < rare[j]) | ((rare[i] == rare[j]) & (key[i] < key[j]))
+        for m in range(2, SHORT + 1):
+            begin = cut[:-1][many == m]
+            for x, y in combinations(range(m), 2):
+                i, j = begin + x, begin + y
+                good = fits(i, j)
+                i, j = i[good], j[good]
+                turn = before(i, j)
+                put(LIST, key[np.where(turn, i, j)], key[np.where(turn, j, i)])
+        rows = {"a": [], "b": [], "keys": []}
+        for x, y in zip(cut[:-1][many > SHORT].tolist(), cut[1:][many > SHORT].tolist(), strict=True):
+            left = np.arange(x, y)[np.lexsort((key[x:y], rare[x:y]))]
             for _ in range(LEADERS):
-                rest = np.flatnonzero(left)
-                if len(rest) < 2:
+                if len(left) < 2:
                     break
-                i = rest[np.argmin(at[rest])]
-                left[i] = False
-                led = left & (100 * m >= PERCENT * m[i]) & (100 * m[i] >= PERCENT * m)
-                pairs.append((np.full(led.sum(), k[i]), k[led]))
-                kinds.append(np.full(led.sum(), LIST))
-                left &= ~led
-            rows["size"].append(y - x)
-            rows["keys"].append(np.concatenate([k, m.astype(U64)]).tobytes())
+                led = fits(left[0], left[1:])
+                put(LIST, np.full(led.sum(), key[left[0]]), key[left[1:][led]])
+                left = left[1:][~led]
+            name = mix(mix(key[x:y]).sum(dtype=U64, keepdims=True)).view(np.int64)[0]
+            for i in range(x, y, CHUNK):
+                j = min(y, i + CHUNK)
+                rows["a"].append(name)
+                rows["b"].append((i - x) // CHUNK)
+                rows["keys"].append(np.concatenate([key[i:j], n[i:j].astype(U64)]).tobytes())
         table = np.column_stack([np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs]), np.concatenate(kinds).astype(U64)])
         table = np.unique(table, axis=0) if len(table) else table
         k, m = len(table), len(rows["keys"])
         return pd.DataFrame(
             {
                 "kind": np.concatenate([table[:, 2].astype(np.int64), np.full(m, MEMBERS)]),
-                "a": np.concatenate([np.ascontiguousarray(table[:, 0]).view(np.int64), np.zeros(m, np.int64)]),
-                "b": np.concatenate([np.ascontiguousarray(table[:, 1]).view(np.int64), np.asarray(rows["size"], np.int64)]),
+                "a": np.concatenate([np.ascontiguousarray(table[:, 0]).view(np.int64), np.asarray(rows["a"], np.int64)]),
+                "b": np.concatenate([np.ascontiguousarray(table[:, 1]).view(np.int64), np.asarray(rows["b"], np.int64)]),
                 "keys": [None] * k + rows["keys"],
             }
         )
@@ -357,6 +397,7 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, wide: bool = Fa
     one = pairs.join(sets.toDF("b", "sb"), "b")
     found = one.join(leaders.toDF("a", "sa"), "a").select("a", "b", "sa", "sb").mapInPandas(compare, "a long, b long, close boolean")
     found = staged(found)
+    dropped(sets)
     released(spark)
     sure = found.filter("not close").select("a", "b")
     again = found.filter("close").select("a", "b").distinct()
@@ -371,23 +412,23 @@ def _set(packed: bytes, wide: bool) -> np.ndarray:
 
 
 def _across(frames):
-    """Pairs of a list's sets that are in different components and can link by size."""
+    """Pairs of a list's sets, or of two chunks of it, that are in different components and can link by size."""
     for pdf in frames:
         a, b = [], []
-        for members in pdf["members"]:
-            n = np.array([m["n"] for m in members], np.int64)
+        for one, members in zip(pdf["one"], pdf["members"], strict=True):
+            n, key, root, chunk = (np.array([m[c] for m in members], np.int64) for c in ("n", "key", "root", "chunk"))
             o = np.argsort(n, kind="stable")
-            n = n[o]
-            key, root = (np.array([m[c] for m in members], np.int64)[o] for c in ("key", "root"))
+            n, key, root, chunk = n[o], key[o], root[o], chunk[o]
             top = np.searchsorted(n, 100 * n // PERCENT, side="right")
             for i in range(len(n)):
                 part = slice(i + 1, top[i])
-                other = np.flatnonzero(root[part] != root[i]) + i + 1
+                other = np.flatnonzero((root[part] != root[i]) & (one | (chunk[part] != chunk[i]))) + i + 1
                 if len(other):
                     a.append(np.full(len(other), key[i]))
                     b.append(key[other])
         if a:
-            yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
+            a, b = np.concatenate(a), np.concatenate(b)
+            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -399,7 +440,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     spark = docs.sparkSession
-    bits = min(14, max(6, int(np.ceil(np.log2(4 * shuffle_partitions(spark))))))
+    bits = bucket_bits(rows, BUCKET_BYTES, 6)
     read = staged(read_sets(rows))
     members = read.filter("kind = 0").select("doc_id", "n", "key")
     level, scan = frequency_levels(read)
@@ -417,8 +458,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bins = staged(heavy.select("key", "n", "payload").dropDuplicates(["key"]))
     first = staged(sure.union(verified(possible(pairs, bins), reps_of, rows)))
     roots = staged(connected_components(first))
-    # The lists whose sets are not in one component yet; many lists are alike.
-    lists = met.filter(F.col("kind") == MEMBERS).select("keys").distinct().select(F.xxhash64("keys").alias("list"), "keys")
+    # The long lists whose sets are not in one component yet; many lists are alike.
+    lists = met.filter(F.col("kind") == MEMBERS).select(F.col("a").alias("list"), "b", "keys").dropDuplicates(["list", "b"])
 
     def unpack(frames):
         for pdf in frames:
@@ -430,16 +471,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             if out:
                 yield pd.concat(out)
 
-    entry = lists.mapInPandas(unpack, "list long, key long, n long")
+    entry = lists.select("list", "keys").mapInPandas(unpack, "list long, key long, n long")
     own = roots.select(F.col("node").alias("key"), "root")
-    entry = entry.join(own, "key", "left").select("list", "key", "n", F.coalesce("root", "key").alias("root"))
-    entry = staged(entry)
+    entry = staged(entry.join(own, "key", "left").select("list", "key", "n", F.coalesce("root", "key").alias("root")))
+    dropped(met, roots)
     released(spark)
-    mixed = entry.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("list")
-    grouped = entry.join(mixed, "list").groupBy("list").agg(F.collect_list(F.struct("key", "n", "root")).alias("members"))
-    rest = grouped.select("members").mapInPandas(_across, "a long, b long").distinct()
-    rest = staged(rest.join(pairs, ["a", "b"], "left_anti"))
+    mixed = entry.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("c")).filter("lo <> hi").select("list", F.ceil(F.col("c") / CHUNK).alias("chunks"))
+    # Each chunk of a list meets each, in a row of its own.
+    dealt = entry.join(mixed, "list").withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks")).withColumn("with", F.explode(F.expr("sequence(0L, chunks - 1)")))
+    dealt = dealt.select("list", F.least("chunk", "with").alias("low"), F.greatest("chunk", "with").alias("high"), F.struct("key", "n", "root", "chunk").alias("member"))
+    grouped = dealt.groupBy("list", "low", "high").agg(F.collect_list("member").alias("members")).select((F.col("low") == F.col("high")).alias("one"), "members")
+    rest = staged(grouped.mapInPandas(_across, "a long, b long").distinct())
+    done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = rest.join(done, ["a", "b"], "left_anti")
     second = verified(possible(rest, bins), reps_of, rows)
+    dropped(entry, bins, pairs)
     links = staged(first.union(second))
     more = connected_components(links).select(F.col("node").alias("key"), "root")
     # The least document of each component, then of each class; the small table of components is one of its own, so that large ones can be split.
