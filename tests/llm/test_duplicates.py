@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from probata.llm import jaccard, linededup, suffixes
 
@@ -181,13 +182,21 @@ def edits(a, b):
     return row[-1]
 
 
-def lines_left(docs):
+def allowed(v, w):
+    """Whether the one edit between lines may be made."""
+    if len(v) == len(w):
+        return len(v) >= 10 or all(edits(x, y) <= 1 for x, y in zip(v, w, strict=True))
+    few, more = sorted((v, w), key=len)
+    return len(few) >= 10 or 4 * (len("".join(more)) - len("".join(few))) <= len("".join(more))
+
+
+def lines_left(docs, near_words=linededup.NEAR_WORDS):
     split = lambda s: tuple(x for x in re.split("[ \t\r\x0b\x0c]+", s) if x)
-    every = sorted({(d, k, split(s)) for d, t in docs if d is not None and t is not None for k, s in enumerate(t.split("\n")) if len(split(s)) >= linededup.MIN_WORDS})
+    every = sorted({(d, k, split(s)) for d, t in docs if d is not None and t is not None for k, s in enumerate(t.split("\n")) if split(s)})
     gone = set()
     for x, (d, k, w) in enumerate(every):
         for e, m, v in every[:x]:
-            near = min(len(v), len(w)) >= linededup.NEAR_WORDS and abs(len(v) - len(w)) <= 1 and edits(v, w) <= 1
+            near = min(len(v), len(w)) >= near_words and abs(len(v) - len(w)) <= 1 and edits(v, w) <= 1 and allowed(v, w)
             if (e, m) != (d, k) and (v == w or near):
                 gone.add((d, k, w))
                 break
@@ -199,27 +208,58 @@ def lines_left(docs):
     return out
 
 
-def test_lines_equal_brute_force(spark):
+@pytest.mark.parametrize(("words", "near_words"), [(6, 3), (6, 1), (60, 1)])
+def test_lines_equal_brute_force(spark, words, near_words):
     r = random.Random(2)
-    base = [[f"w{r.randint(0, 5)}" for _ in range(r.randint(3, 14))] for _ in range(25)]
+    word = lambda: f"w{r.randint(0, 5)}" if words < 10 else r.choice("ab") * r.randint(1, 9) + str(r.randint(0, 20))
+    base = [[word() for _ in range(r.randint(1, 14))] for _ in range(25)]
 
     def changed(words):
         words = list(words)
         for _ in range(r.choice([0, 1, 1, 2])):
             i, how = r.randrange(len(words) + 1), r.random()
             if how < 0.33:
-                words.insert(i, f"w{r.randint(0, 5)}")
-            elif words and how < 0.66:
+                words.insert(i, word())
+            elif words and how < 0.5:
                 words.pop(min(i, len(words) - 1))
             elif words:
-                words[min(i, len(words) - 1)] = f"w{r.randint(0, 5)}"
+                i = min(i, len(words) - 1)
+                w = list(words[i])
+                k = r.randrange(len(w))
+                w[k : k + r.choice([0, 1, 1])] = r.choice(["", "x", "y"])
+                words[i] = r.choice([word(), "".join(w) or "z", "".join(w) or "z"])
         return words
 
-    docs = [(i, "\n".join(r.choice([" ", "  ", "\t"]).join(changed(r.choice(base))) for _ in range(r.randint(0, 6)))) for i in range(120)]
+    docs = [(i, "\n".join(r.choice([" ", "  ", "\t"]).join(changed(r.choice(base))) for _ in range(r.randint(0, 6)))) for i in range(160)]
     docs += [(200, None), (201, ""), (None, docs[3][1]), (202, "\n\n"), (203, docs[3][1]), (203, docs[3][1]), (-4, docs[5][1])]
     df = spark.createDataFrame([(*d, "k", 7) for d in docs], "doc_id long, text string, place string, hash int").repartition(6)
-    got = [tuple(x) for x in linededup.report(df).collect()]
-    assert sorted(got, key=str) == sorted(lines_left(docs), key=str)
+    got = [tuple(x) for x in linededup.report(df, near_words).collect()]
+    assert sorted(got, key=str) == sorted(lines_left(docs, near_words), key=str)
+
+
+def test_short_lines_meet_by_any_earlier_line(spark):
+    """The earliest line of a key is not the one that repeats."""
+    text = ["Thank you John", "Thank you Mary", "Thank you Marys", "Thank you Marsh"]
+    df = spark.createDataFrame([(1, "\n".join(text))], "doc_id long, text string")
+    assert [r["text"].split("\n") for r in linededup.deduplicated(df).collect()] == [["Thank you John", "Thank you Mary", "Thank you Marsh"]]
+
+
+def test_running_hashes_do_not_depend_on_runs(spark):
+    df = spark.createDataFrame([([f"w{i % 7}" for i in range(n)],) for n in (1, 7, 8, 9, 16, 17, 40)], "words array<string>")
+    for run in (8, 64):
+        rows = sorted((r[0] for r in df.select(linededup.running_hashes(linededup.F.col("words"), run)).collect()), key=len)
+        assert [len(r) for r in rows] == [2, 8, 9, 10, 17, 18, 41]
+        assert all(rows[-1][: len(r)] == r and len(set(r)) == len(r) for r in rows)
+
+
+def test_very_long_texts_and_lines(spark):
+    """A document of a million lines, many of them repeats, and one line of 200,000 words."""
+    line = [f"w{i % 9973}v{i % 997}" for i in range(200_000)]
+    lines = [f"line {i % 600_000} is one of many that stand in it here {i % 600_000}" for i in range(1_000_000)]
+    rows = [(1, "\n".join(lines), "k"), (2, " ".join(line), "k"), (3, " ".join([*line[:150_000], "new", *line[150_001:]]) + "\nlast", "k")]
+    got = {r["doc_id"]: r for r in linededup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string, gone string")).collect()}
+    assert got[1]["n_removed"] >= 400_000 and got[1]["text"] + "\n" == "".join(f"{x}\n" for x in got[1]["text"].split("\n"))
+    assert got[2]["text"] == rows[1][1] and got[3]["text"] == "last"
 
 
 def test_line_dedup_keeps_columns_and_runs_no_python(spark):
