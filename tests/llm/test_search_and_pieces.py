@@ -79,13 +79,13 @@ def test_pieces_equal_the_library(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(150).collect()
     rows = [(r["doc_id"], r["text"], "x") for r in docs] + [(10_000 + i, t, "y") for i, t in enumerate(TEXTS)] + [(None, "no id", "z"), (5, None, "z"), (5, None, "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string").repartition(3)
-    got = pieces.encoded(df, piece_model(), keep_text=True, batch_chars=5000).collect()
+    got = pieces.encoded(df, piece_model(), keep_text=True, batch_bytes=5000).collect()
     sp = sentencepiece.SentencePieceProcessor(model_file=piece_model())
     want = []
     for i, t, _ in rows:
         ids = sp.encode(t or "")
         back = sp.decode(ids)
-        want.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), back))
+        want.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), 0, back))
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
@@ -104,10 +104,25 @@ def test_memory_of_segments_is_bounded(monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBERED", 50)
     for i in range(5):
         texts = [f"word{i}x{j} again" for j in range(60)]
-        assert [a for a, _ in v.encoded(texts)] == [",".join(map(str, x)) for x in v.library.encode(texts)]
+        assert [a for a, _, _ in v.encoded(texts)] == [",".join(map(str, x)) for x in v.library.encode(texts)]
         assert len(v.strings) <= 50 + 120
 
 
+def test_memory_of_long_segments_is_bounded(monkeypatch):
+    v = pieces.Vocabulary(piece_model())
+    monkeypatch.setattr(pieces, "REMEMBERED_CHARS", 20_000)
+    for i in range(6):
+        v.encoded([f"{i}" * 3000])
+        assert v.chars <= 20_000 + 10_000 * 2
+
+
+def test_the_library_decides(monkeypatch):
+    v = pieces.Vocabulary(piece_model())
+    monkeypatch.setattr(v, "agenda", lambda part: [[7] for _ in part])
+    text = "two words"
+    assert v.encoded([text, ""]) == [(",".join(map(str, v.library.encode(text))), text, 2), ("", "", 0)]
+
+
 def test_other_vocabularies_are_refused(tmp_path):
     with pytest.raises((OSError, RuntimeError)):
         pieces.Vocabulary(str(tmp_path / "none.model"))
