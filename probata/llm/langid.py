@@ -15,6 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import binaries, gathered, shuffle_partitions, text_buffers
 from .textops import LOWER, mix
@@ -30,7 +31,7 @@ PENALTY = 3.0
 #: Added to every count.
 SMOOTHING = 0.5
 UNKNOWN = "und"
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 19
 
 #: Upper case falls; every ASCII character that is no letter counts as a blank.
 FOLD = LOWER.copy()
@@ -146,20 +147,25 @@ def identified(docs: DataFrame, train: DataFrame) -> DataFrame:
 
     lang_pred is the language of the largest share (of equals the first by name), score that
     share. Where text is null or has no letter, or nothing was learned, they are 'und' and 0. Rows stay
-    one to one; other columns pass through unread.
+    one to one; other columns pass through unread, but for any named lang_pred or score, which are replaced.
     """
     langs, logp = learned(train)
     model = docs.sparkSession.sparkContext.broadcast((langs, logp))
-    names = [c for c in docs.columns if c not in ("lang_pred", "score", "shares", "_has")]
-    rows = docs.select(*names, (F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}")).alias("_has"))
-    schema = docs.select(*names).schema.add("lang_pred", "string").add("score", "double")
+    names = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    text = next(c for c in names if c.lower() == "text")
+    flag = "_has"
+    while flag in map(str.lower, names):
+        flag += "_"
+    kept = docs.select(*names)
+    rows = kept.withColumn(flag, F.col("text").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches):
         langs, logp = model.value
-        for t in gathered(batches, BATCH_BYTES, "text"):
-            buf, offs = text_buffers(t.column("text").combine_chunks().fill_null(""))
+        for t in gathered(batches, BATCH_BYTES, text):
+            buf, offs = text_buffers(t.column(text).combine_chunks().fill_null(""))
             share = mixtures(buf, offs, logp)
-            has = np.array(t.column("_has").to_pylist(), bool)
+            has = np.array(t.column(flag).to_pylist(), bool)
             if len(langs):
                 best = np.argmax(share, axis=1)
                 score = np.where(has, share[np.arange(len(best)), best], 0.0)
@@ -168,7 +174,7 @@ def identified(docs: DataFrame, train: DataFrame) -> DataFrame:
                 pred = [langs[i] if h else UNKNOWN for i, h in zip(best, has, strict=True)]
             else:
                 score, pred = np.zeros(len(has)), [UNKNOWN] * len(has)
-            t = t.drop_columns(["_has"]).append_column("lang_pred", pa.array(pred, pa.string())).append_column("score", pa.array(np.clip(score, 0.0, 1.0)))
+            t = t.drop_columns([flag]).append_column("lang_pred", pa.array(pred, pa.string())).append_column("score", pa.array(np.clip(score, 0.0, 1.0)))
             yield from t.to_batches()
 
     return rows.mapInArrow(run, schema)
