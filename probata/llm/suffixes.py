@@ -449,20 +449,22 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, keep: bool = False) -> D
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep
 
     def cut(batches):
-        for batch in batches:
+        for t in gathered(batches, BATCH_BYTES, "text"):
+            buf, offs = text_buffers(t.column("text"))
+            raw = memoryview(np.ascontiguousarray(buf))
             out = ([], [], [], [], [])
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                raw = text.encode()
+            for i, spans in enumerate(t.column("spans").to_pylist()):
+                x, y = int(offs[i]), int(offs[i + 1])
                 s = np.frombuffer(spans, "<i4").reshape(-1, 2).tolist() if spans else []
-                left, at = [], 0
+                left, at = [], x
                 for a, b in s:
-                    left.append(raw[at:a])
-                    at = b
-                left.append(raw[at:])
+                    left.append(raw[at : x + a])
+                    at = x + b
+                left.append(raw[at:y])
                 kept = b"".join(left)
-                for column, x in zip(out, (len(raw), len(raw) - len(kept), len(s), hashlib.sha256(kept).hexdigest(), kept), strict=True):
-                    column.append(x)
-            arrays = [batch.column(0), *(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.string())] + [binaries(out[4])] * keep
+                for column, v in zip(out, (y - x, y - x - len(kept), len(s), hashlib.sha256(kept).hexdigest(), kept if keep else b""), strict=True):
+                    column.append(v)
+            arrays = [t.column("doc_id").combine_chunks(), *(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.string())] + [binaries(out[4])] * keep
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: len(arrays)])
 
     return both.mapInArrow(cut, schema)
