@@ -13,23 +13,36 @@ from probata.llm.queries import piece_model
 MOST_SENT = 1 << 20
 
 
+def _aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """docs with columns of these names, in any case, under others, and what to rename to undo it."""
+    taken = {c.lower() for c in docs.columns}
+    moved = {}
+    for c in docs.columns:
+        if c.lower() in names:
+            new = f"kept_{c}"
+            while new.lower() in taken:
+                new += "_"
+            taken.add(new.lower())
+            moved[c] = new
+    return docs.withColumnsRenamed(moved), {v: k for k, v in moved.items()}
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: those without text or without any letter go; a missing lang is filled in."""
     train = docs.filter(langid.remainder() != 1).select("text", "lang")
-    # Columns that the operator would replace step aside.
-    aside = {c: f"__kept_{c}" for c in ("lang_pred", "score") if c in docs.columns}
-    out = langid.identified(docs.withColumnsRenamed(aside), train).filter(F.col("lang_pred") != langid.UNKNOWN)
+    rows, back = _aside(docs, "lang_pred", "score")
+    out = langid.identified(rows, train).filter(F.col("lang_pred") != langid.UNKNOWN)
     out = out.withColumn("lang", F.coalesce("lang", "lang_pred")).drop("lang_pred", "score")
-    return out.withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)
+    return out.withColumnsRenamed(back).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines; one that loses lines and has no word left goes."""
-    aside = {c: f"__kept_{c}" for c in ("n_lines", "n_removed") if c in docs.columns}
-    out = linededup.deduplicated(docs.withColumnsRenamed(aside))
+    rows, back = _aside(docs, "n_lines", "n_removed")
+    out = linededup.deduplicated(rows)
     left = (F.col("n_removed") == 0) | F.col("text").rlike(r"\S")
     out = out.filter(F.coalesce(left, F.lit(True))).withColumn("n_chars", F.length("text").cast("long")).drop("n_lines", "n_removed")
-    return out.withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)
+    return out.withColumnsRenamed(back).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,6 +75,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows over the documents in sf_dir: of those that all stages before kept, the pieces.
+
+    Null and empty texts go in the first stage, as do texts without a letter. Repeated rows are one to each stage's operator as its docstring
+    says; further columns pass through, whatever they are called. An empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
