@@ -49,13 +49,15 @@ def leaves(copies: DataFrame, *held: str) -> DataFrame:
     """(file, number, page_id, url, offset, length, a hash for each column in held): one row for each record's range.
 
     copies: (page_id, url, file, record, and a column with what each copy holds in the record's range, null if nothing can be read).
+    The hash of the k-th column in held is named copyk.
     """
-    hashes = [F.sha2(F.col(c).cast("binary"), 256).alias(c) for c in held]
+    names = [f"copy{k}" for k in range(len(held))]
+    hashes = [F.sha2(F.col(c).cast("binary"), 256).alias(n) for c, n in zip(held, names, strict=True)]
     rows = copies.select("file", "page_id", "url", F.octet_length("record").cast("long").alias("length"), F.sha2(F.col("record").cast("binary"), 256).alias("_order"), *hashes)
     w = Window.partitionBy("file").orderBy("page_id", "url", "_order")
     number = F.row_number().over(w).cast("long") - 1
     before = F.coalesce(F.sum("length").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    return rows.select("file", number.alias("number"), "page_id", "url", before.alias("offset"), "length", *held)
+    return rows.select("file", number.alias("number"), "page_id", "url", before.alias("offset"), "length", *names)
 
 
 def parents(nodes: DataFrame, *held: str, fanout: int = FANOUT) -> DataFrame:
@@ -71,20 +73,21 @@ def parents(nodes: DataFrame, *held: str, fanout: int = FANOUT) -> DataFrame:
 def audit(copies: DataFrame, one: str, other: str, fanout: int = FANOUT) -> DataFrame:
     """(file, number, page_id, url, offset, length, one, other): the ranges at which the two copies differ.
 
-    copies as for leaves; one and other come back as hashes, null where nothing could be read. No rows: no difference.
+    copies as for leaves; one and other come back as hashes, null where nothing could be read; if they are one column, the second is named copy1. No rows: no difference.
     """
+    a, b = "copy0", "copy1"
     levels = [staged(leaves(copies, one, other))]
     most = levels[0].agg(F.max("number").alias("n")).first()["n"]
     while most is not None and most > 0:
-        levels.append(staged(parents(levels[-1], one, other, fanout=fanout)))
+        levels.append(staged(parents(levels[-1], a, b, fanout=fanout)))
         most //= fanout
-    differs = ~F.col(one).eqNullSafe(F.col(other))
+    differs = ~F.col(a).eqNullSafe(F.col(b))
     bad = levels[-1].filter(differs)
     for below in reversed(levels[:-1]):
         up = bad.select(F.col("file").alias("_f"), F.col("number").alias("_n"))
         children = below.join(up, (F.col("file") == F.col("_f")) & (F.expr(f"number div {fanout}") == F.col("_n")), "left_semi")
         bad = children.filter(differs)
-    return bad
+    return bad.withColumnsRenamed({a: one, b: other if other != one else b})
 
 
 def damaged(archive: DataFrame) -> DataFrame:

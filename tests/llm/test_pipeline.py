@@ -37,7 +37,20 @@ def test_stages_in_order_with_their_decisions(spark, tmp_path):
     assert {r["doc_id"]: r["text"] for r in docs.collect()}[1] == base[30]
     assert {r["doc_id"]: r["lang"] for r in docs.collect()}[2] == "en"
     assert {r["score"] for r in docs.collect()} == {1.0}
-    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() == 7
+    assert out.columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() == 7
+
+
+def test_columns_that_share_names_with_the_stages(spark, tmp_path):
+    names = ["shares", "_has", "Score", "LANG_PRED", "N_Lines", "n_removed", "kept_Score", "component_id", "edits", "item_id", "key", "row", "gone", "place"]
+    rows = [(i, f"some words of text number{i} that are not said twice here{i}", "en", "s", 9, *[f"{c}{i}" for c in names]) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in names))
+    spark.createDataFrame([(1, "an item that nothing holds in these few documents at all")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = df
+    for name, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == df.columns, name
+        assert sorted(tuple(r[c] for c in names) for r in docs.collect()) == sorted(r[5:] for r in rows), name
+    assert cp.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 3
 
 
 def test_pipeline_of_nothing(spark, tmp_path):
