@@ -55,12 +55,6 @@ def dropped(*tables: DataFrame) -> None:
             remove()
 
 
-def thinned(table: DataFrame, folder: str) -> None:
-    """Removes the folder of one value, as name=value, of a table that cut wrote by that column; reading it later is an error or finds no rows."""
-    if getattr(table, "cut_at", None) in _there:
-        _removed(table.sparkSession, f"{table.cut_at}/{folder}")
-
-
 def _all_dropped() -> None:
     while _there:
         _there.popitem()[1]()
