@@ -9,8 +9,8 @@ heavy is where subsets would cost more than lists. Two linked sets are met in th
 share more than what stands from its place on; members that cannot reach any other's size so leave a list, and pairs that cannot are not made. All
 pairs of a short list are verified. The sets of a long one are first linked to the few with the smallest share of rare shingles, which are the same in all
 lists of a group; then every pair of a list that is not yet in one component is verified too, long lists being dealt in chunks. Before sets
-are compared, a pair must be able to link by its bins: each set has its shingles counted by a few bits of their hashes, and what one set has
-more of in a bin cannot be shared. So no link between components is lost, though pairs within them are not all looked at.
+are compared, a pair must be able to link by its bins: each set has its shingles counted by the low bits of their hashes, in about as many bins as
+a quarter of its size, and what one set has more of in a bin cannot be shared. So no link between components is lost, though pairs within them are not all looked at.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ from .textops import LOWER, U64, mix, run_hash, shingles, words
 WIDTH = 5
 #: Two sets link when NUM * |both| >= DEN * |either|, in hundredths.
 PERCENT = 80
-#: log2 of the counters of the sketch that orders shingles by frequency: 4 MB, then 1 MB of levels.
-SKETCH_BITS = 20
+#: log2 of the counters of the sketch that orders shingles by frequency: 16 MB, then 4 MB of levels.
+SKETCH_BITS = 22
 #: The boundary between light and heavy is sought up to this size.
 LIGHTEST = 16
 BATCH_BYTES = 1 << 20
@@ -43,8 +43,8 @@ BLOCK_BYTES = 16 << 20
 BUCKET_BYTES = 128 << 20
 #: Matches by chance that a comparison of 32-bit hashes allows for at least.
 CHANCE = 8
-#: Bins in which the shingles of a set are counted, up to 255 each.
-BINS = 64
+#: Bins in which the shingles of a set are counted, at least, and shingles for each bin beyond; a bin counts to FULL.
+BINS, OF_BIN, FULL = 64, 4, 255
 #: As many rows of ids (16 bytes each) are sent to all executors at most; beyond that, they are joined by a shuffle.
 MOST_SENT = 1 << 20
 
@@ -108,33 +108,52 @@ def sets_of(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return h, t, key
 
 
-def binned(h: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
-    """Each set's shingles by bin (sets x BINS)."""
-    at = text.astype(np.int64) * BINS + (h & U64(BINS - 1)).astype(np.int64)
-    return np.minimum(np.bincount(at, minlength=n * BINS), 255).astype(np.uint8).reshape(n, BINS)
+def binned(h: np.ndarray) -> np.ndarray:
+    """The shingles of a set by the low bits of their hashes, in a power of two of bins."""
+    size = BINS
+    while size * OF_BIN < len(h):
+        size *= 2
+    return np.minimum(np.bincount((h & U64(size - 1)).astype(np.int64), minlength=size), FULL).astype(np.uint8)
 
 
 def most_shared(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """A bound of the overlaps of sets of sizes a and b with bins x and y. Bins that are full only make it larger."""
-    more = x.astype(np.int16) - y
-    return np.minimum(a - np.maximum(more, 0).sum(axis=1), b - np.maximum(-more, 0).sum(axis=1))
+    """A bound of the overlaps of sets of sizes a and b with bins x and y (pairs x bins); a full bin tells nothing, and neither do the others of its set."""
+    full = (x == FULL).any(axis=1) | (y == FULL).any(axis=1)
+    x, y = x.astype(np.int32), y.astype(np.int32)
+    while x.shape[1] > y.shape[1]:
+        x = x[:, : x.shape[1] // 2] + x[:, x.shape[1] // 2 :]
+    while y.shape[1] > x.shape[1]:
+        y = y[:, : y.shape[1] // 2] + y[:, y.shape[1] // 2 :]
+    more = x - y
+    bound = np.minimum(a - np.maximum(more, 0).sum(axis=1), b - np.maximum(-more, 0).sum(axis=1))
+    return np.where(full, np.minimum(a, b), bound)
 
 
 def read_sets(docs: DataFrame) -> DataFrame:
     """(kind, doc_id, n, key, payload): per document its set's size, key and bins (kind 0), per task the sketch's counters (kind 1)."""
 
     def emit(batches):
-        counters = np.zeros(1 << SKETCH_BITS, np.int64)
+        counters, held = np.zeros(1 << SKETCH_BITS, np.int32), []
+
+        def count():
+            if held:
+                counters[:] += np.bincount(np.concatenate(held), minlength=len(counters)).astype(np.int32)
+                held.clear()
+
         for t in gathered(batches, BATCH_BYTES, "text"):
             buf, offs = text_buffers(t.column("text"))
             h, text, key = sets_of(buf, offs)
-            counters += np.bincount((h >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counters))
+            held.append((h >> U64(64 - SKETCH_BITS)).astype(np.int32))
+            if len(held) > 8:
+                count()
             n = len(key)
-            bins = [x.tobytes() for x in binned(h, text, n)]
+            cut = np.searchsorted(text, np.arange(n + 1))
+            bins = [binned(h[a:b]).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(n, np.int32)), t.column("doc_id").combine_chunks(), pa.array(np.bincount(text, minlength=n), pa.int64()), pa.array(key.view(np.int64)), binaries(bins)],
                 names=["kind", "doc_id", "n", "key", "payload"],
             )
+        count()
         step = 1 << (SKETCH_BITS - 4)
         parts = [_packed(counters[i : i + step]) for i in range(0, len(counters), step)] if counters.any() else []
         k = np.arange(len(parts))
@@ -146,19 +165,25 @@ def read_sets(docs: DataFrame) -> DataFrame:
 def frequency_levels(rows: DataFrame) -> tuple[np.ndarray, float]:
     """(level by counter, mean number of other sets in a list): how far above the usual a shingle's counter stands."""
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(_unpacked(x, "<i8")[0] for x in pdf["payload"])
-        return pd.DataFrame({"part": [pdf["n"].iloc[0]], "payload": [_packed(total)]})
+    def add(kind: str):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            total = np.zeros(1 << (SKETCH_BITS - 4), np.int64)
+            for x in pdf["payload"]:
+                total += _unpacked(x, kind)[0]
+            return pd.DataFrame({"n": [pdf["n"].iloc[0]], "payload": [_packed(total)]})
+
+        return run
 
     n = shuffle_partitions(rows.sparkSession)
     parts = rows.filter("kind = 1").select("n", "payload", F.pmod(F.xxhash64("payload"), F.lit(max(1, round(n**0.5)))).alias("salt"))
-    some = parts.groupBy("n", "salt").applyInPandas(lambda p: add(p[["n", "payload"]]).rename(columns={"part": "n"}), "n long, payload binary")
+    some = parts.groupBy("n", "salt").applyInPandas(add("<i4"), "n long, payload binary")
     counters = np.zeros(1 << SKETCH_BITS, np.int64)
     step = 1 << (SKETCH_BITS - 4)
-    for r in some.groupBy("n").applyInPandas(add, "part long, payload binary").collect():  # 16 rows of 0.5 MB at most
-        counters[r["part"] * step : (r["part"] + 1) * step] = _unpacked(bytes(r["payload"]), "<i8")[0]
+    for r in some.groupBy("n").applyInPandas(add("<i8"), "n long, payload binary").collect():  # 16 rows of 2 MB at most
+        counters[r["n"] * step : (r["n"] + 1) * step] = _unpacked(bytes(r["payload"]), "<i8")[0]
     usual = float(np.median(counters))
-    above = np.maximum(1.0, (counters - usual) / (usual / 4 + 16))
+    # Counters vary by chance about as the root of what is usual.
+    above = np.maximum(1.0, (counters - usual) / (3 * usual**0.5 + 2))
     level = np.minimum(31, np.log2(above).astype(np.int64)).astype(np.uint8)
     scan = float(np.maximum(0, counters - 2 * usual - 16).sum() / max(1, counters.sum()))
     return level, scan
@@ -342,10 +367,19 @@ def possible(pairs: DataFrame, bins: DataFrame) -> DataFrame:
 
     def run(frames):
         for pdf in frames:
-            if len(pdf):
-                x, y = (np.frombuffer(b"".join(pdf[c]), np.uint8).reshape(-1, BINS) for c in ("xa", "xb"))
-                a, b = pdf["na"].to_numpy(), pdf["nb"].to_numpy()
-                yield pdf.loc[most_shared(a, x, b, y) >= needed(a, b), ["a", "b"]]
+            a, b = pdf["na"].to_numpy(), pdf["nb"].to_numpy()
+            x, y = pdf["xa"].to_numpy(), pdf["xb"].to_numpy()
+            size = np.array([len(v) for v in x], np.int64) << 32 | np.array([len(v) for v in y], np.int64)
+            keep = np.zeros(len(pdf), bool)
+            # Pairs with as many bins are looked at together, a few MB of bins at a time.
+            for s in np.unique(size).tolist():
+                at = np.flatnonzero(size == s)
+                step = max(1, (1 << 20) // ((s >> 32) + (s & 0xFFFFFFFF)))
+                for i in range(0, len(at), step):
+                    some = at[i : i + step]
+                    u, v = (np.frombuffer(b"".join(z[some]), np.uint8).reshape(len(some), -1) for z in (x, y))
+                    keep[some] = most_shared(a[some], u, b[some], v) >= needed(a[some], b[some])
+            yield pdf.loc[keep, ["a", "b"]]
 
     both = pairs.join(bins.toDF("a", "na", "xa"), "a").join(bins.toDF("b", "nb", "xb"), "b")
     return staged(both.select("a", "b", "na", "xa", "nb", "xb").mapInPandas(run, "a long, b long"))

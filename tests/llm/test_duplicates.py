@@ -149,11 +149,16 @@ def test_bins_never_understate_an_overlap():
     r = np.random.default_rng(4)
     for size in (5, 90, 1000, 40_000):
         every = np.unique(r.integers(0, 1 << 63, 2 * size).astype(np.uint64))
-        for share in (0.0, 0.5, 0.95):
-            a, b = (np.flatnonzero(r.random(len(every)) < max(share, 0.5)) for _ in range(2))
-            x, y = (jaccard.binned(every[k], np.zeros(len(k), np.int64), 1) for k in (a, b))
-            both = len(np.intersect1d(a, b))
-            assert both <= jaccard.most_shared(np.array([len(a)]), x, np.array([len(b)]), y)[0] <= min(len(a), len(b))
+        for few, share in ((0.5, 0.5), (0.2, 0.7), (0.9, 0.3), (0.97, 0.97)):
+            a, b = (np.flatnonzero(r.random(len(every)) < f) for f in (few, share))
+            x, y = (jaccard.binned(every[k])[None] for k in (a, b))
+            both, bound = len(np.intersect1d(a, b)), jaccard.most_shared(np.array([len(a)]), x, np.array([len(b)]), y)[0]
+            assert both <= bound <= min(len(a), len(b))
+            if size >= 1000 and few == share == 0.5:
+                assert bound < jaccard.needed(len(a), len(b))
+    # One bin that is full: nothing is known.
+    crowd = np.arange(300, dtype=np.uint64) << np.uint64(40)
+    assert jaccard.most_shared(np.array([300]), jaccard.binned(crowd)[None], np.array([300]), jaccard.binned(np.arange(300, dtype=np.uint64))[None])[0] == 300
 
 
 def test_chance_matches_of_large_sets_are_allowed_for():
