@@ -1,23 +1,28 @@
 """HTML extraction: boosted trees over DOM nodes, with one consistent choice for the whole tree.
 
-A page is parsed into a tree. Each element gets features: its tag and those above it, tokens of its class, id and role,
-text and link density of its subtree, depth, and statistics of its siblings. Boosted trees give the odds that an
-element belongs to the main text. Decoding picks, over the whole tree at once, which elements are kept or dropped
-with all that is below them and which are left to their children, so no ancestor contradicts a descendant. The trees learn
+A page is parsed into a tree, in one pass; text that stands beside elements is a node like them. Each node gets features: its tag and those
+above it, tokens of its class, id and role (by groups of words, and hashed), text and link density of its subtree, depth, and statistics of its
+siblings. Boosted trees give the odds that a node belongs to the main text. Decoding picks, over the whole tree at once, which nodes are kept
+or dropped with all that is below them and which are left to their children, so no ancestor contradicts a descendant; what it picks is the text. The trees learn
 from pages that this module composes from a grammar of layouts (TRAINING_PAGES of them), for which the main text is known.
 """
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import gathered
+
 #: Size of the composed training sample, and of the model.
 TRAINING_PAGES, TREES, DEPTH, RATE, BINS = 700, 60, 4, 0.2, 32
 #: Below this odds' gain, an element is rather kept or dropped whole than split among its children.
@@ -43,106 +48,166 @@ CLOSES = {
 ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
 )
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|aria-label|data-role|hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+#: An attribute with its value: in quotes (to the end of the page, if they do not close), or up to white space or the tag's end.
+ATTRIBUTE = re.compile(r"""[\s/]*+([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s>]*+)))?""")
+TELLING = frozenset("class id role itemprop aria-label data-role".split())
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: Open elements that are looked through for one that an opening tag ends.
+LOOKED_AT = 256
+#: Children that do not make the text beside them a node.
+BREAKS = frozenset("br wbr img".split())
 PARTS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 #: Words in class, id and role that speak for or against the main text.
 GOOD = frozenset("article content main post entry body story text prose blog hentry page copy paragraph column".split())
 BAD = frozenset(
-    """ad ads advert advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu sidebar side footer foot header head masthead
+    """ad ads advert advertisement advertising adsbygoogle werbung anzeige publicidad publicite reklame sponsor sponsored promo promotion banner nav navbar navigation menu sidebar side footer foot header head masthead
     comment comments reply replies respond discussion disqus cookie consent notice notification alert popup modal overlay newsletter subscribe signup login social share sharing
     related recommended widget breadcrumb breadcrumbs pagination pager toolbar tags meta search form rail outbrain taboola copyright legal skip hidden""".split()
 )
 GROUPS = (
-    frozenset("ad ads advert advertisement advertising sponsor sponsored promo promotion banner outbrain taboola".split()),
+    frozenset("ad ads advert advertisement advertising adsbygoogle werbung anzeige publicidad publicite reklame sponsor sponsored promo promotion banner outbrain taboola".split()),
     frozenset("nav navbar navigation menu breadcrumb breadcrumbs pagination pager toolbar skip".split()),
     frozenset("comment comments reply replies respond discussion disqus".split()),
     frozenset("cookie consent notice notification alert popup modal overlay newsletter subscribe signup login".split()),
     frozenset("sidebar side rail widget related recommended social share sharing tags".split()),
     frozenset("footer foot header head masthead copyright legal".split()),
 )
-TAGS = ("p", "h1", "h2", "h3", "div", "section", "article", "main", "ul", "li", "table", "blockquote", "pre", "figure")
+TAGS = ("#text", "p", "h1", "h2", "h3", "div", "section", "article", "main", "ul", "li", "table", "blockquote", "pre", "figure", "a", "span")
 #: Tags that, above an element, tell where it stands.
 PLACES = ("article", "main", "nav", "header", "footer", "aside", "form")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "parts", "tokens", "hidden", "label")
+    __slots__ = ("tag", "children", "tokens", "hidden")
 
-    def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
-        self.tag, self.parent = tag, parent
+    def __init__(self, tag: str):
+        self.tag = tag
         #: Children in order, texts among them.
         self.children: list[Node | str] = []
         self.hidden = False
-        self.label = None
-        tokens = set()
-        if attributes:
-            for m in ATTRIBUTE.finditer(attributes):
-                name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-                if name == "hidden":
-                    self.hidden = True
-                elif name == "style":
-                    self.hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
-                else:
-                    tokens.update(PARTS.findall(CAMEL.sub(" ", value).lower()))
-        self.tokens = tokens
+        self.tokens: set[str] = set()
+
+    def told(self, name: str, value: str) -> None:
+        name = name.lower()
+        if name == "hidden":
+            self.hidden = True
+        elif name == "style":
+            self.hidden |= bool(UNSEEN.search(value))
+        elif name in TELLING:
+            self.tokens.update(PARTS.findall(CAMEL.sub(" ", value).lower()))
+
+
+class Open:
+    """The open elements, innermost last."""
+
+    def __init__(self, root: Node):
+        self.stack = [root]
+        self.blocks = [root]
+        #: How many blocks of each tag are open, and how many inline elements of each within the innermost block, and so on outwards.
+        self.count: Counter[str] = Counter()
+        self.inline: list[Counter[str]] = [Counter()]
+
+    def push(self, node: Node) -> None:
+        self.stack.append(node)
+        if node.tag in INLINE:
+            self.inline[-1][node.tag] += 1
+        else:
+            self.blocks.append(node)
+            self.count[node.tag] += 1
+            self.inline.append(Counter())
+
+    def close(self, node: Node) -> None:
+        """Ends node and all within it."""
+        while True:
+            last = self.stack.pop()
+            if last.tag in INLINE:
+                self.inline[-1][last.tag] -= 1
+            else:
+                self.blocks.pop()
+                self.inline.pop()
+                self.count[last.tag] -= 1
+            if last is node:
+                return
+
+    def innermost(self, tag: str) -> Node | None:
+        """The open element that an end tag ends: an inline one only within the innermost block."""
+        if not (self.inline[-1] if tag in INLINE else self.count)[tag]:
+            return None
+        return next(x for x in reversed(self.stack if tag in INLINE else self.blocks) if x.tag == tag)
 
 
 def parsed(page: str) -> Node:
-    """The tree of a page; unclosed and misnested tags are mended as far as the main text asks for."""
-    root = Node("#root", None)
-    now = root
+    """The tree of a page, in time proportional to its length; unclosed and misnested tags are mended as far as the main text asks for."""
+    root = Node("#root")
+    open_ = Open(root)
+    never: set[str] = set()  # tags of raw text that close nowhere from here on
     pos, n = 0, len(page)
     while pos < n:
-        m = TOKEN.search(page, pos)
-        if m is None:
-            now.children.append(page[pos:])
+        i = page.find("<", pos)
+        if i < 0:
+            i = n
+        text, begin = i, pos
+        # A "<" that opens nothing is text.
+        m = NAME.match(page, i + 1 + (page.startswith("/", i + 1))) if i < n else None
+        if i < n and m is None and page[i + 1 : i + 2] not in ("!", "?", "/"):
+            open_.stack[-1].children.append(page[begin : i + 1])
+            pos = i + 1
+            continue
+        if text > begin:
+            open_.stack[-1].children.append(page[begin:text])
+        if i == n:
             break
-        if m.start() > pos:
-            now.children.append(page[pos : m.start()])
-        pos = m.end()
-        if m[2] is None:
+        if m is None:
+            end = page.find("-->", i + 4) if page.startswith("<!--", i) else page.find(">", i)
+            pos = n if end < 0 else end + (3 if page.startswith("<!--", i) else 1)
             continue
-        tag = m[2].lower()
-        if m[1]:
-            up = now
-            while up is not root and up.tag != tag:
-                # An inline end tag does not end a block, nor any a table cell's row above it.
-                if tag in INLINE and up.tag not in INLINE:
-                    up = None
-                    break
-                up = up.parent
-            if up is not None and up is not root:
-                now = up.parent
+        tag, ends = m[0].lower(), page[i + 1] == "/"
+        node = Node(tag)
+        pos = m.end()
+        slash = False
+        while True:
+            a = ATTRIBUTE.match(page, pos)
+            if a is None:
+                break
+            pos = a.end()
+            if not ends:
+                node.told(a[1], a[2] or a[3] or a[4] or "")
+        while pos < n and page[pos] != ">":
+            slash = page[pos] == "/"
+            pos += 1
+        pos += 1
+        if pos > n:
+            break  # a tag that does not end is none
+        if ends:
+            up = open_.innermost(tag)
+            if up is not None:
+                open_.close(up)
             continue
-        attributes = m[3]
         if tag in ENDS_P:
-            up = now
-            while up is not root and up.tag in INLINE:
-                up = up.parent
-            if up.tag == "p":
-                now = up.parent
+            if open_.blocks[-1].tag == "p":
+                open_.close(open_.blocks[-1])
         elif tag in CLOSES:
-            ends, within = CLOSES[tag]
-            up = now
+            outer, within = CLOSES[tag]
             found = None
-            while up is not root and up.tag not in within:
-                if up.tag in ends:
+            for up in open_.blocks[: -LOOKED_AT - 1 : -1]:
+                if up is root or up.tag in within:
+                    break
+                if up.tag in outer:
                     found = up
-                up = up.parent
             if found is not None:
-                now = found.parent
-        if tag == "html" and now is not root:
+                open_.close(found)
+        if tag == "html" and len(open_.stack) > 1:
             continue
-        if tag == "body" and now.tag == "head":
-            now = now.parent
-        node = Node(tag, now, attributes)
-        now.children.append(node)
+        if tag == "body" and open_.stack[-1].tag == "head":
+            open_.close(open_.stack[-1])
+        open_.stack[-1].children.append(node)
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
+            close = None if tag in never else re.compile(rf"</{re.escape(tag)}\s*+>", re.I).search(page, pos)
             if close is None:
+                never.add(tag)
                 if tag in ("svg", "math", "noscript", "template", "iframe", "title"):
                     continue
                 pos = n
@@ -151,17 +216,17 @@ def parsed(page: str) -> Node:
                     node.children.append(page[pos : close.start()])
                 pos = close.end()
             continue
-        if tag in VOID or attributes.endswith("/") and tag not in INLINE and tag not in ENDS_P:
+        if tag in VOID or slash and tag not in INLINE and tag not in ENDS_P:
             continue
-        now = node
+        open_.push(node)
     return root
 
 
 def listed(root: Node) -> tuple[list[Node], list[int], list[list[int]]]:
-    """(elements in page order without hidden ones, parent numbers, children numbers)."""
-    nodes, parent = [root], [-1]
-    children: list[list[int]] = [[]]
-    stack = [(c, 0) for c in reversed(root.children) if isinstance(c, Node)]
+    """(nodes in page order without hidden ones, parent numbers, children numbers); text beside elements becomes a node."""
+    nodes, parent = [], []
+    children: list[list[int]] = []
+    stack = [(root, -1)]
     while stack:
         node, up = stack.pop()
         if node.tag in HIDDEN or node.hidden:
@@ -170,12 +235,24 @@ def listed(root: Node) -> tuple[list[Node], list[int], list[list[int]]]:
         nodes.append(node)
         parent.append(up)
         children.append([])
-        children[up].append(k)
+        if up >= 0:
+            children[up].append(k)
+        if any(isinstance(c, Node) and c.tag not in BREAKS for c in node.children):
+            for i, c in enumerate(node.children):
+                if isinstance(c, str) and not c.isspace():
+                    node.children[i] = beside = Node("#text")
+                    beside.children.append(c)
         stack.extend((c, k) for c in reversed(node.children) if isinstance(c, Node))
     return nodes, parent, children
 
 
-N_FEATURES = 26 + len(TAGS) + len(PLACES) + len(GROUPS)
+#: Columns that hashed tokens fall into.
+HASHED = 64
+
+
+@functools.lru_cache(1 << 16)
+def column_of(token: str) -> int:
+    return zlib.crc32(token.encode()) % HASHED
 
 
 def features(nodes: list[Node], parent: list[int], children: list[list[int]]) -> np.ndarray:
@@ -198,17 +275,22 @@ def features(nodes: list[Node], parent: list[int], children: list[list[int]]) ->
     good, bad = np.zeros(n), np.zeros(n)
     good_up, bad_up = np.zeros(n), np.zeros(n)
     group = np.zeros((n, len(GROUPS)))
+    hashed = np.zeros((n, HASHED))
     in_link = np.zeros(n, bool)
     for k, node in enumerate(nodes):
         up = parent[k]
         good[k], bad[k] = len(node.tokens & GOOD), len(node.tokens & BAD)
         for j, g in enumerate(GROUPS):
             group[k, j] = bool(node.tokens & g)
+        for token in node.tokens:
+            hashed[k, column_of(token)] = 1
         if up >= 0:
             depth[k] = depth[up] + 1
             inside[k] = inside[up]
             good_up[k], bad_up[k] = good_up[up], bad_up[up]
             group[k] = np.maximum(group[k], group[up])
+            # What stands above counts for half.
+            hashed[k] = np.maximum(hashed[k], (hashed[up] > 0) * 0.5)
             in_link[k] = in_link[up]
         good_up[k] += good[k]
         bad_up[k] += bad[k]
@@ -242,14 +324,15 @@ def features(nodes: list[Node], parent: list[int], children: list[list[int]]) ->
         link[up] / np.maximum(1, text[up]), text[up] / tags[up], np.log1p(tags), np.log1p(text[up]),
     ]
     cols += [np.array([x.tag == t for x in nodes], float) for t in TAGS]
-    return np.column_stack([*cols, inside, group])
+    cols.append(np.array([x.tag in INLINE for x in nodes], float))
+    return np.column_stack([*cols, inside, group, hashed])
 
 
 class Boosted:
     """Gradient-boosted trees for a yes-or-no label, over binned features."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray):
-        self.edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
+        self.edges = [self._edges(x[:, j]) for j in range(x.shape[1])]
         b = self.binned(x)
         self.base = float(np.log((weight * y).sum() / (weight * (1 - y)).sum()))
         score = np.full(len(y), self.base)
@@ -261,8 +344,15 @@ class Boosted:
             self.trees.append(tree)
             score += self._values(tree, b)
 
+    @staticmethod
+    def _edges(v: np.ndarray) -> np.ndarray:
+        """Between the values, if they are few; else at equal shares of the rows."""
+        few = np.unique(v)
+        return few[:-1] if len(few) < BINS else np.unique(np.quantile(v, np.linspace(0, 1, BINS + 1)[1:-1]))
+
     def binned(self, x: np.ndarray) -> np.ndarray:
-        return np.column_stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(self.edges)]).astype(np.uint8)
+        """(features x rows) the bin of each value."""
+        return np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(self.edges)]).astype(np.uint8)
 
     def _grown(self, b: np.ndarray, g: np.ndarray, h: np.ndarray):
         """A tree as arrays by node: feature, cut, value; the children of node k are 2k+1 and 2k+2."""
@@ -278,27 +368,30 @@ class Boosted:
             if 2 * k + 2 >= size or len(at) < 20:
                 continue
             best, gain0 = 1e-3, gs * gs / (hs + 1)
-            for j in range(b.shape[1]):
-                gl = np.cumsum(np.bincount(b[at, j], weights=g[at], minlength=BINS))[:-1]
-                hl = np.cumsum(np.bincount(b[at, j], weights=h[at], minlength=BINS))[:-1]
+            here, ga, ha = b[:, at], g[at], h[at]
+            for j in range(len(b)):
+                if len(self.edges[j]) == 0:
+                    continue
+                gl = np.cumsum(np.bincount(here[j], weights=ga, minlength=BINS))[:-1]
+                hl = np.cumsum(np.bincount(here[j], weights=ha, minlength=BINS))[:-1]
                 ok = (hl > 1) & (hs - hl > 1)
                 gain = np.where(ok, gl * gl / (hl + 1) + (gs - gl) ** 2 / (hs - hl + 1) - gain0, -1)
                 i = int(np.argmax(gain))
                 if gain[i] > best:
                     best, feature[k], cut[k] = gain[i], j, i
             if feature[k] >= 0:
-                where[at] = 2 * k + 1 + (b[at, feature[k]] > cut[k])
+                where[at] = 2 * k + 1 + (here[feature[k]] > cut[k])
         return feature, cut, value
 
     @staticmethod
     def _values(tree, b: np.ndarray) -> np.ndarray:
         feature, cut, value = tree
-        at = np.zeros(len(b), np.int64)
-        rows = np.arange(len(b))
+        rows = np.arange(b.shape[1])
+        at = np.zeros(len(rows), np.int64)
         for _ in range(DEPTH):
             f = feature[at]
             go = f >= 0
-            at = np.where(go, 2 * at + 1 + (b[rows, np.maximum(f, 0)] > cut[at]), at)
+            at = np.where(go, 2 * at + 1 + (b[np.maximum(f, 0), rows] > cut[at]), at)
         return value[at]
 
     def odds(self, x: np.ndarray) -> np.ndarray:
@@ -358,32 +451,26 @@ def main_text(nodes: list[Node], kept: np.ndarray) -> str:
         k = number.get(id(x))
         if k is None:
             continue
-        block = x.tag not in INLINE
-        if block:
+        if x.tag not in INLINE and x.tag != "#text":
             end()
             stack.append(None)
         if x.tag == "br":
             run.append(" ")
-        for c in reversed(x.children):
-            if isinstance(c, Node):
-                stack.append(c)
-            elif kept[k] or (not block and kept[_block_above(x, number)]):
-                stack.append(c)
+        # Blanks between elements part words, whoever holds them.
+        stack.extend(c for c in reversed(x.children) if isinstance(c, Node) or kept[k] or c.isspace())
     end()
     return "\n\n".join(blocks)
 
 
-def _block_above(x: Node, number: dict[int, int]) -> int:
-    while x.tag in INLINE and x.parent is not None:
-        x = x.parent
-    return number.get(id(x), 0)
-
-
 # Composed pages: layouts whose main text is known.
 
 _SYLLABLES = "ba co di fe gu ha li mo nu pe ra so ti ve an er is on ur est ing ly ment tion ard ous".split()
 
 
+#: What can stand between words: references, and runs of signs.
+_SIGNS = [f" {x} " for x in "&amp; &mdash; &lt; &#8217; &nbsp; &eacute; | * ** -- / + = ~ # ## ### % %% $ @ ( ) [ ] { } ; : < 3<4".split()]
+
+
 def _word(r: random.Random) -> str:
     return "".join(r.choice(_SYLLABLES) for _ in range(r.randint(1, 4)))
 
@@ -394,35 +481,47 @@ def _sentence(r: random.Random, low: int = 2, high: int = 18) -> str:
 
 def _paragraph(r: random.Random) -> str:
     s = " ".join(_sentence(r) for _ in range(r.choice([1, 1, 2, 3, 5, 8])))
-    if r.random() < 0.1:
-        s = re.sub(r" ", lambda m: r.choice([" ", "&amp; ", "%% ", "### "]), s)
+    if r.random() < 0.15:
+        s = re.sub(r" ", lambda m: r.choice([" ", " ", r.choice(_SIGNS)]), s)
     if r.random() < 0.2:
         w = s.split(" ")
         i = r.randrange(len(w))
         w[i] = r.choice(["<b>{}</b>", "<em>{}</em>", '<a href="/x">{}</a>', "<strong>{}</strong>", "<code>{}</code>"]).format(w[i])
         s = " ".join(w)
+    if r.random() < 0.05:
+        t = r.choice("b i em strong span u small".split())
+        s = f"<{t}>{s}" + r.choice(["", "<br>", f"</{t}>"])
     return s
 
 
+def _advert_within(r: random.Random) -> str:
+    """An advert amid the words of a paragraph."""
+    t = r.choice("a a span ins em".split())
+    return f' <{t} class="{r.choice(_ADVERTS)}" {_OTHER}>{" ".join(_word(r) for _ in range(r.randint(1, 8)))}</{t}> '
+
+
 def _links(r: random.Random, low: int = 3, high: int = 9) -> str:
     return "<ul>" + "".join(f'<li><a href="/{_word(r)}">{" ".join(_word(r) for _ in range(r.randint(1, 3)))}</a></li>' for _ in range(r.randint(low, high))) + "</ul>"
 
 
-_MAIN, _OTHER = "data-role=zzmain", "data-role=zzother"
+#: Marks of a composed page: all of an element, none of it, the text that stands loose in it.
+_MAIN, _OTHER, _LOOSE = "data-role=zzmain", "data-role=zzother", "data-role=zzloose"
+_ADVERTS = ["ad", "ads", "advert", "banner-ad", "ad banner", "sponsored", "promo", "ad-slot", "advertisement", "adsbygoogle", "werbung", "anzeige", "publicidad", "publicite", "reklame", "partner-link"]
 
 
 def composed(r: random.Random) -> str:
     """A page; elements that are main text whole carry one mark, those that are none of it another."""
 
     def other(tag: str, names: list[str], body: str, always: bool = False) -> str:
-        name = f' {r.choice(["class", "class", "id"])}="{r.choice(names)}"' if names and (always or r.random() < 0.85) else ""
+        called = f"{_word(r)}-{r.randint(1, 99)}" if r.random() < 0.08 else r.choice(names) if names else ""
+        name = f' {r.choice(["class", "class", "id"])}="{called}"' if names and (always or r.random() < 0.85) else ""
         return f"<{tag}{name} {_OTHER}>{body}</{tag}>"
 
     def short(low: int = 1, high: int = 2) -> str:
         return " ".join(_sentence(r, 2, 12) for _ in range(r.randint(low, high)))
 
     def advert() -> str:
-        return other(r.choice(["div", "div", "aside", "section", "p"]), ["ad", "ads", "advert", "banner-ad", "sponsored", "promo", "ad-slot", "advertisement"], short() if r.random() < 0.8 else f"<p>{short()}</p>", True)
+        return other(r.choice(["div", "div", "aside", "section", "p"]), _ADVERTS, short() if r.random() < 0.8 else f"<p>{short()}</p>", True)
 
     def comments() -> str:
         each = "".join(f'<{t} class="{r.choice(["comment", "reply", "comment-body"])}"><p>{_paragraph(r)}</p></{t}>' for t in [r.choice(["div", "li", "article"])] for _ in range(r.randint(1, 5)))
@@ -450,11 +549,21 @@ def composed(r: random.Random) -> str:
             return f"<{t} {_MAIN}>" + "".join(f"<li>{_paragraph(r)}</li>" for _ in range(r.randint(1, 5))) + f"</{t}>"
         if kind < 0.92:
             return f"<blockquote {_MAIN}><p>{_paragraph(r)}</p></blockquote>"
-        if kind < 0.95:
+        if kind < 0.935:
             return f"<pre {_MAIN}>{_paragraph(r)}</pre>"
-        if kind < 0.97:
+        if kind < 0.945:
             return f"<table {_MAIN}>" + "".join(f"<tr><td>{_word(r)}</td><td>{_sentence(r)}</td></tr>" for _ in range(r.randint(1, 4))) + "</table>"
-        return f"<p {_MAIN}><b>{_paragraph(r)}<br>"
+        if kind < 0.955:
+            return f"<p {_MAIN}><b>{_paragraph(r)}<br>"
+        return f"<p {_LOOSE}>{_paragraph(r)}{_advert_within(r)}{_paragraph(r)}</p>"
+
+    def loose() -> str:
+        """Text without elements of its own, parted by line breaks, adverts and blocks."""
+        out = [_paragraph(r)]
+        for _ in range(r.randint(1, 5)):
+            out.append(r.choice(["<br>", "<br><br>", " "]) if r.random() < 0.5 else r.choice([advert, advert, block, notice, lambda: _advert_within(r)])())
+            out.append(_paragraph(r))
+        return "".join(out)
 
     title = " ".join(_word(r) for _ in range(r.randint(1, 10)))
     body = [block() for _ in range(r.choice([0, 1, 1, 2, 3, 5, 8, 14]))]
@@ -464,6 +573,9 @@ def composed(r: random.Random) -> str:
         body = [f"<p {_MAIN}>{_paragraph(r)}</p>"]
     inside = list(body)
     whole = True
+    if r.random() < 0.15:
+        inside = [loose()] if r.random() < 0.6 else [*inside, loose()]
+        whole = False
     for piece, chance in ((advert, 0.2), (side, 0.08), (form, 0.05), (comments, 0.1), (notice, 0.06)):
         if r.random() < chance:
             inside.insert(len(inside) if piece is comments else r.randint(0, len(inside)), piece())
@@ -472,14 +584,14 @@ def composed(r: random.Random) -> str:
         inside.append(other("div", ["share", "social-share", "tags", "post-meta"], _links(r, 2, 4), True))
         whole = False
     head = f"<h1 {_MAIN}>{title}</h1>" if r.random() < 0.85 else ""
-    mark = _MAIN if whole else ""
+    mark = _MAIN if whole and _LOOSE not in "".join(inside) else _LOOSE
     kind = r.random()
     if kind < 0.5:
         main = f"<article {mark}>{head}{''.join(inside)}</article>"
     elif kind < 0.7:
-        main = f"<main>{'<article>' if r.random() < 0.5 else '<div>'}{head}{''.join(inside)}</div></main>"
+        main = f"<main>{f'<article {mark}>' if r.random() < 0.5 else f'<div {mark}>'}{head}{''.join(inside)}</div></main>"
     elif kind < 0.9:
-        name = r.choice(["content", "post", "entry-content", "article-body", "main", "story", "post-content", "page-body"])
+        name = r.choice(["content", "post", "entry-content", "article-body", "main", "story", "post-content", "page-body", f"{_word(r)}-{r.randint(1, 99)}", "inhalt", "contenu"])
         main = f'<div {r.choice(["class", "id"])}="{name}" {mark}>{head}{"".join(inside)}</div>'
     else:
         main = f"<div {mark}>{head}{''.join(inside)}</div>"
@@ -496,21 +608,31 @@ def composed(r: random.Random) -> str:
     return page + ("</body></html>" if r.random() < 0.9 else "")
 
 
+def labels(nodes: list[Node], parent: list[int]) -> np.ndarray:
+    """1 for nodes of a composed page that are main text with all below them, 0 for those that are none of it, NaN for others; the marks go."""
+    label = np.full(len(nodes), np.nan)
+    for k, x in enumerate(nodes):
+        if "zzmain" in x.tokens:
+            label[k] = 1
+        elif "zzother" in x.tokens:
+            label[k] = 0
+        elif parent[k] >= 0 and not np.isnan(label[parent[k]]):
+            label[k] = label[parent[k]]
+        elif parent[k] >= 0 and "zzloose" in nodes[parent[k]].tokens and (x.tag == "#text" or x.tag in INLINE):
+            label[k] = 1
+    for x in nodes:
+        x.tokens -= {"zzmain", "zzother", "zzloose"}
+    return label
+
+
+@functools.lru_cache(4)
 def trained(pages: int = TRAINING_PAGES, seed: int = 4) -> Boosted:
-    """Trees that learned from composed pages."""
+    """Trees that learned from composed pages; once for each sample in a driver's life."""
     r = random.Random(seed)
     xs, ys, ws = [], [], []
     for _ in range(pages):
         nodes, parent, children = listed(parsed(composed(r)))
-        label = np.full(len(nodes), np.nan)
-        for k, x in enumerate(nodes):
-            if "zzmain" in x.tokens:
-                label[k] = 1
-            elif "zzother" in x.tokens:
-                label[k] = 0
-            elif parent[k] >= 0 and not np.isnan(label[parent[k]]):
-                label[k] = label[parent[k]]
-            x.tokens -= {"zzmain", "zzother"}
+        label = labels(nodes, parent)
         x = features(nodes, parent, children)
         known = ~np.isnan(label)
         xs.append(x[known])
@@ -534,21 +656,20 @@ def texts_of(model: Boosted, pages: list[str]) -> list[str]:
     return out
 
 
-def extracted(pages: DataFrame, model: Boosted | None = None, batch: int = 256) -> DataFrame:
+def extracted(pages: DataFrame, model: Boosted | None = None, batch_bytes: int = 1 << 19) -> DataFrame:
     """(page_id, url, text, n_chars) of every page (page_id, url, html).
 
     A null html is empty, and so is its text. Markup-free html is text. Rows stay one to one, repeated ones too;
-    other columns are not read.
+    other columns are not read. Pages of any length are parsed in time proportional to it.
     """
     spark = pages.sparkSession
     sent = spark.sparkContext.broadcast(model or trained())
 
     def run(batches):
-        for b in batches:
-            for i in range(0, b.num_rows, batch):
-                part = b.slice(i, batch)
-                texts = texts_of(sent.value, part.column(2).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+        for t in gathered(batches, batch_bytes, "html"):
+            texts = texts_of(sent.value, t.column("html").to_pylist())
+            cols = [t.column("page_id").combine_chunks(), t.column("url").combine_chunks(), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
