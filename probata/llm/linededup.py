@@ -137,7 +137,8 @@ def repeated_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
     holders = sent_if_few(some.select(((F.col("place") - F.pmod("place", F.lit(LINES))) / LINES).cast("long").alias("doc_id")).distinct())
     words = lines_of(docs.join(holders, "doc_id", "left_semi")).filter(near).select(F.xxhash64("words").alias("hash"), "place", "words")
     near_lines = staged(words.join(some, ["hash", "place"]).dropDuplicates(["hash"]).select("hash", "place", "words", F.size("words").alias("n"), "first", "last"))
-    v = variants(near_lines)
+    # Counted first and joined after: written once rather than worked out twice.
+    v = staged(variants(near_lines))
     first = lambda of: F.min(F.when(of, F.col("place")))
     is_gap = ~(F.col("exchange") | F.col("leave"))
     least = v.groupBy("key").agg(first(F.col("exchange")).alias("exchange_place"), first(F.col("leave")).alias("leave_place"), first(is_gap).alias("gap_place"), F.count(F.lit(1)).alias("c"))
