@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numeric import casefold, nfc
+
 # Fixed values.
 EXECUTABLE = (".app", ".bat", ".cmd", ".com", ".command", ".dll", ".dylib", ".exe", ".jar", ".js", ".msi", ".ps1", ".py", ".scr", ".sh", ".so", ".vbs")
 AUTO_COMPILED = (".asmdef", ".asmref", ".boo", ".cs", ".rsp")
@@ -55,8 +57,8 @@ def is_unsafe(path: Column) -> Column:
 
 
 def collision_identity(path: Column) -> Column:
-    """The name under which entries collide where case, trailing dots and blanks do not count."""
-    return F.array_join(F.transform(components(path), lambda c: F.lower(F.regexp_replace(c, r"[ .]+$", ""))), "/")
+    """The name under which entries collide where case (folded, not only lowered), form (NFC), trailing dots and blanks do not count."""
+    return casefold(nfc(F.array_join(F.transform(components(path), lambda c: F.regexp_replace(c, r"[ .]+$", "")), "/")))
 
 
 def is_license(name: Column) -> Column:
@@ -94,9 +96,10 @@ def redacted_url(url: Column) -> Column:
 
 def natural_key(value: Column) -> Column:
     """A key under which digit runs compare as numbers, after text at the same place."""
-    parts = F.regexp_extract_all(F.lower(value), F.lit(r"([0-9]+|[^0-9]+)"), 1)
+    value = casefold(value)
+    parts = F.regexp_extract_all(value, F.lit(r"([0-9]+|[^0-9]+)"), 1)
     # A key starts with text, empty if the value starts with digits.
-    parts = F.when(F.lower(value).rlike("^[0-9]"), F.concat(F.array(F.lit("")), parts)).otherwise(parts)
+    parts = F.when(value.rlike("^[0-9]"), F.concat(F.array(F.lit("")), parts)).otherwise(parts)
     digits = lambda p: p.rlike("^[0-9]+$")
     number = lambda p: F.when(digits(p), p.try_cast("decimal(38,0)")).otherwise(F.lit(0))
     return F.transform(parts, lambda p: F.struct(digits(p).cast("int").alias("tag"), number(p).alias("number"), F.when(digits(p), F.lit("")).otherwise(p).alias("text")))

@@ -51,42 +51,62 @@ def strict_json(files: DataFrame, most: int = MAX_MANIFEST) -> DataFrame:
     return files.withColumn("problem", problem).withColumn("document", F.when(problem.isNull(), parsed))
 
 
-def _no_repeats(pairs):
-    out = {}
-    for k, v in pairs:
-        if k in out:
-            raise ValueError(f"repeated key {k}")
-        out[k] = v
-    return out
+def _yaml_value(text: str):
+    """The value of a text's only YAML document, put together from the parser's events, of which only plain ones are taken."""
+    import yaml
+
+    resolver, constructor = yaml.resolver.Resolver(), yaml.constructor.SafeConstructor()
+    documents: list = []
+    #: What is open: a list, or a dict with the key that waits for its value.
+    within: list[list] = [[documents, None]]
+    nothing = object()
+
+    def put(value) -> None:
+        holder, key = within[-1]
+        if isinstance(holder, list):
+            holder.append(value)
+        elif key is nothing:
+            if not isinstance(value, str | int | float | bool | None):
+                raise ValueError("a key that is no scalar")
+            if value in holder:
+                raise ValueError("a key twice")
+            within[-1][1] = value
+        else:
+            holder[key] = value
+            within[-1][1] = nothing
+
+    for event in yaml.parse(text, Loader=yaml.SafeLoader):
+        if isinstance(event, yaml.AliasEvent) or getattr(event, "anchor", None) is not None:
+            raise ValueError("an alias or an anchor")
+        if getattr(event, "tag", None) is not None:
+            raise ValueError("a tag")
+        if isinstance(event, yaml.ScalarEvent):
+            tag = resolver.resolve(yaml.ScalarNode, event.value, event.implicit)
+            if tag.endswith((":merge", ":value")):
+                raise ValueError("a merge")
+            put(constructor.construct_object(yaml.ScalarNode(tag, event.value), deep=True))
+        elif isinstance(event, yaml.SequenceStartEvent):
+            within.append([[], None])
+        elif isinstance(event, yaml.MappingStartEvent):
+            within.append([{}, nothing])
+        elif isinstance(event, yaml.SequenceEndEvent | yaml.MappingEndEvent):
+            put(within.pop()[0])
+    if len(documents) != 1:
+        raise ValueError("not one document")
+    return documents[0]
 
 
 def yaml_documents(files: DataFrame, most: int = MAX_RECEIPT) -> DataFrame:
-    """(path, json, problem): single YAML documents without aliases and repeated keys, as JSON text."""
+    """(path, json, problem): single YAML documents without aliases, tags, merges and repeated keys, as JSON text."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import yaml
-
-        class Loader(yaml.SafeLoader):
-            def compose_node(self, parent, index):
-                if self.check_event(yaml.events.AliasEvent):
-                    raise ValueError("alias")
-                return super().compose_node(parent, index)
-
-            def construct_mapping(self, node, deep=False):
-                self.flatten_mapping(node)
-                return _no_repeats((self.construct_object(k, deep=True), self.construct_object(v, deep=True)) for k, v in node.value)
-
-        Loader.add_constructor("tag:yaml.org,2002:map", lambda loader, node: loader.construct_mapping(node))
         for pdf in frames:
             out, problem = [], []
             for content in pdf["content"]:
                 try:
                     if len(content) > most:
                         raise ValueError("too large")
-                    docs = list(yaml.load_all(bytes(content).decode(), Loader))
-                    if len(docs) != 1:
-                        raise ValueError("not one document")
-                    out.append(json.dumps(docs[0], sort_keys=True, allow_nan=False))
+                    out.append(json.dumps(_yaml_value(bytes(content).decode()), sort_keys=True, allow_nan=False))
                     problem.append(None)
                 except Exception as e:
                     out.append(None)
