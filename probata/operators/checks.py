@@ -79,3 +79,12 @@ def coverage(evidence: DataFrame, by: str, domains: list[str]) -> DataFrame:
     """(by, missing): the domains, in order, for which there is no evidence row (by, domain, current)."""
     missing = [F.when(~F.coalesce(F.bool_or((F.col("domain") == d) & F.col("current")), F.lit(False)), F.lit(d)) for d in domains]
     return evidence.groupBy(by).agg(F.array_join(F.array_compact(F.array(*missing)), ",").alias("missing"))
+
+
+def classified(value: Column, states: dict[str, list[str]], other: str = "unknown") -> Column:
+    """The first state any of whose patterns (LIKE) a value fits."""
+    out = F.lit(other)
+    for state, patterns in reversed(states.items()):
+        for p in patterns:
+            out = F.when(value.like(p), state).otherwise(out)
+    return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -44,10 +44,13 @@ def motion_deltas(source: DataFrame, imported: DataFrame, key: str, vector: str,
 
 def loop_seams(samples: DataFrame, by: list[str], order: str, value: str, tolerance: float) -> DataFrame:
     """(by, first, middle, last, loops): whether a series ends where it began and moves in between."""
-    n = samples.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(order, value))).alias("s"))
-    at = lambda i: F.element_at("s", i)[value]
-    first, middle, last = at(F.lit(1)), at(F.expr("cast(size(s) div 2 + 1 as int)")), at(F.lit(-1))
-    return n.select(*by, first.alias("first"), middle.alias("middle"), last.alias("last"), ((F.abs(first - last) <= tolerance) & (F.abs(first - middle) > tolerance)).alias("loops"))
+    # Three rows of each series count: found by rank, so that no series is held as one.
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(order, value))
+    ranked = samples.select(*by, value, place.alias("_k")).join(samples.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")), by)
+    at = lambda k: F.max(F.when(F.col("_k") == k, F.col(value)))
+    ends = ranked.groupBy(*by).agg(at(F.lit(1)).alias("first"), at(F.expr("_n div 2 + 1")).alias("middle"), at(F.col("_n")).alias("last"))
+    first, middle, last = F.col("first"), F.col("middle"), F.col("last")
+    return ends.withColumn("loops", (F.abs(first - last) <= tolerance) & (F.abs(first - middle) > tolerance))
 
 
 def run_order(df: DataFrame, before: str, after: str) -> Column:

@@ -60,8 +60,8 @@ def numbered_names(df: DataFrame, name: str, position: str) -> DataFrame:
 
 def link_states(desired: DataFrame, recorded: DataFrame, key: str, target: str) -> DataFrame:
     """(key, state): keep, changed, new or stale, of wanted links against recorded ones."""
-    d, r = desired.select(key, F.col(target).alias("_d")), recorded.select(key, F.col(target).alias("_r"))
-    state = F.when(F.col("_r").isNull(), "new").when(F.col("_d").isNull(), "stale").when(F.col("_d") == F.col("_r"), "keep").otherwise("changed")
+    d, r = desired.select(key, F.col(target).alias("_d"), F.lit(True).alias("_in_d")), recorded.select(key, F.col(target).alias("_r"), F.lit(True).alias("_in_r"))
+    state = F.when(F.col("_in_r").isNull(), "new").when(F.col("_in_d").isNull(), "stale").when(F.col("_d").eqNullSafe(F.col("_r")), "keep").otherwise("changed")
     return d.join(r, key, "full_outer").select(key, state.alias("state"))
 
 
@@ -70,6 +70,21 @@ def parent_pairs(chain: list[str]) -> list[tuple[str, str]]:
     return list(zip(chain[:-1], chain[1:], strict=True))
 
 
+def chain_links(links: DataFrame, chain: list[str], child: str, parent: str) -> DataFrame:
+    """(parent, child, there): each adjacent pair of an expected chain, and whether a row links the two."""
+    spark = links.sparkSession
+    want = spark.createDataFrame(parent_pairs(chain), f"`{parent}` string, `{child}` string")
+    have = links.select(parent, child).distinct().withColumn("_there", F.lit(True))
+    return want.join(have, [parent, child], "left").select(parent, child, F.coalesce("_there", F.lit(False)).alias("there"))
+
+
+def mode(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """(by, value, n): the most frequent value of each group, the least of equals."""
+    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy(*by).agg(F.min(F.struct((-F.col("n")).alias("less"), F.col(value).alias("value"))).alias("_b"))
+    return best.select(*by, F.col("_b.value").alias(value), (-F.col("_b.less")).alias("n"))
+
+
 def set_digest(df: DataFrame, by: list[str], item: Column) -> DataFrame:
     """(by, digest): the SHA-256 of each group's items, sorted, so that order does not count."""
     return df.groupBy(*by).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(item)), ";").cast("binary"), 256).alias("digest"))

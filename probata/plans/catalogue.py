@@ -429,23 +429,22 @@ def set_digest(spark, d):
 
 
 @_query("""
-    with w as (select l_orderkey as o, l_suppkey as s, sum(l_quantity::decimal(18, 2))::double / sum(sum(l_quantity::decimal(18, 2))) over (partition by l_orderkey)::double as w, count(*) as n from lineitem group by 1, 2),
-         h as (select l_orderkey % 7 as part, l_orderkey, sum(l_discount::decimal(18, 4)) as s, count(*) filter (l_discount > 0) as n from lineitem group by 1, 2)
-    select part, count(*) filter (n > 0) as weighted, count(*) filter (n = 0) as unweighted, count(*) filter (n > 0 and abs(s - 0.2) > 0.05) as non_normalised, max(n) as max_influences from h group by 1
+    with h as (select l_orderkey % 7 as part, l_orderkey, sum(l_discount::decimal(18, 4)) filter (l_discount > 0) as s, count(*) filter (l_discount > 0) as n from lineitem group by 1, 2)
+    select part, count(*) filter (n > 0) as weighted, count(*) filter (n = 0) as unweighted, count(*) filter (n > 0 and abs(s - 1) > 0.8) as non_normalised, max(n) as max_influences from h group by 1
 """)
 def weight_normalisation(spark, d):
-    li = _t(spark, d, "lineitem").select((F.col("l_orderkey") % 7).alias("part"), "l_orderkey", (F.col("l_discount").cast("decimal(18,4)") + F.lit("0.8").cast("decimal(18,4)") / 1 * 0).alias("w"))
-    shifted = li.groupBy("part", "l_orderkey").agg(F.sum("w").alias("s"), F.count_if(F.col("w") > 0).alias("n"))
-    off = F.count_if((F.col("n") > 0) & (F.abs(F.col("s") - F.lit("0.2").cast("decimal(18,4)")) > F.lit("0.05").cast("decimal(18,4)")))
-    return shifted.groupBy("part").agg(F.count_if(F.col("n") > 0).alias("weighted"), F.count_if(F.col("n") == 0).alias("unweighted"), off.alias("non_normalised"), F.max("n").alias("max_influences"))
+    li = _t(spark, d, "lineitem").select((F.col("l_orderkey") % 7).alias("part"), "l_orderkey", F.col("l_discount").cast("decimal(18,4)").alias("w"))
+    return mesh.weight_facts(li, li, "part", "l_orderkey", "w", 0.8)
 
 
 @_query("""
-    select r.r_name as parent, n.n_name as child, n.n_nationkey % 5 = r.r_regionkey as expected from nation n join region r on n.n_regionkey = r.r_regionkey
+    select r as parent, n as child, exists (select 1 from nation join region on n_regionkey = r_regionkey where r_name = r and n_name = n) as there
+    from (values ('EUROPE', 'FRANCE'), ('FRANCE', 'ASIA'), ('ASIA', 'CHINA')) x(r, n)
 """)
 def parent_chain(spark, d):
     n, r = _t(spark, d, "nation"), _t(spark, d, "region")
-    return n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("parent"), F.col("n_name").alias("child"), (F.col("n_nationkey") % 5 == F.col("r_regionkey")).alias("expected"))
+    links = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("parent"), F.col("n_name").alias("child"))
+    return keys.chain_links(links, ["EUROPE", "FRANCE", "ASIA", "CHINA"], "child", "parent")
 
 
 @_query("""
@@ -522,18 +521,15 @@ def link_state_3way(spark, d):
     select l_returnflag, l_quantity, n from c qualify row_number() over (partition by l_returnflag order by n desc, l_quantity) = 1
 """)
 def histogram_mode(spark, d):
-    c = _t(spark, d, "lineitem").groupBy("l_returnflag", "l_quantity").agg(F.count(F.lit(1)).alias("n"))
-    best = c.groupBy("l_returnflag").agg(F.min(F.struct((-F.col("n")).alias("m"), "l_quantity")).alias("b"))
-    return best.select("l_returnflag", F.col("b.l_quantity").alias("l_quantity"), (-F.col("b.m")).alias("n"))
+    return keys.mode(_t(spark, d, "lineitem"), ["l_returnflag"], "l_quantity")
 
 
 @_query("""
     select event_type, case when event_type like '%purchase%' then 'available' when event_type like '%error%' then 'no_permission' when event_type like '%log%' then 'not_activated' else 'unknown' end as state, count(*) as n from events group by 1, 2
 """)
 def error_code_classify(spark, d):
-    e = F.col("event_type")
-    state = F.when(e.like("%purchase%"), "available").when(e.like("%error%"), "no_permission").when(e.like("%log%"), "not_activated").otherwise("unknown")
-    return _t(spark, d, "events").groupBy("event_type", state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
+    states = {"available": ["%purchase%"], "no_permission": ["%error%"], "not_activated": ["%log%"]}
+    return _t(spark, d, "events").groupBy("event_type", checks.classified(F.col("event_type"), states).alias("state")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @_query("""

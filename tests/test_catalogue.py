@@ -3,7 +3,9 @@
 import duckdb
 import pytest
 
-from probata.plans import catalogue
+from probata.plans import catalogue, reports
+
+assert reports  # its queries join the catalogue
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
