@@ -309,7 +309,7 @@ def encoded(docs: DataFrame, model: str, keep_text: bool = False, batch_bytes: i
     empty; the empty text has no ids. Rows stay one to one, repeated ones too;
     other columns are not read. Whole texts of any length; a text of one segment is one agenda.
     """
-    from .common import gathered, with_text
+    from .common import gathered, let_go, with_text
 
     schema = OUT if keep_text else OUT.rsplit(",", 1)[0]
     names = [c.split()[0] for c in schema.split(", ")]
@@ -328,5 +328,8 @@ def encoded(docs: DataFrame, model: str, keep_text: bool = False, batch_bytes: i
             if keep_text:
                 cols.append(pa.array([d for _, d, _ in rows], pa.string()))
             yield pa.RecordBatch.from_arrays(cols, names=names)
+        # Workers outlive tasks: the next stage has other uses for the memory.
+        v._forget()
+        let_go()
 
     return with_text(docs, "doc_id").mapInArrow(run, schema)

@@ -67,7 +67,7 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[:n], _inverse[:n]
 
 
-def run_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray, piece: int = 1 << 22) -> np.ndarray:
+def run_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray, piece: int = 1 << 20) -> np.ndarray:
     """A 64-bit hash of the bytes of each run; equal runs have equal hashes wherever they stand.
 
     Runs are in order of start and do not overlap.
@@ -87,7 +87,7 @@ def run_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray, piece: int = 1
     return mix(out)
 
 
-def span_hash(buf: np.ndarray, start: np.ndarray, size: int, piece: int = 1 << 22) -> np.ndarray:
+def span_hash(buf: np.ndarray, start: np.ndarray, size: int, piece: int = 1 << 20) -> np.ndarray:
     """A 64-bit hash of the size bytes from each start on; starts are in order and may overlap."""
     out = np.zeros(len(start), U64)
     i = 0
