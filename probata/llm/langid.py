@@ -32,6 +32,8 @@ PENALTY = 3.0
 SMOOTHING = 0.5
 UNKNOWN = "und"
 BATCH_BYTES = 1 << 19
+#: Bytes of one or more texts whose grams are held at once.
+PIECE_BYTES = 1 << 19
 
 #: Upper case falls; every ASCII character that is no letter counts as a blank.
 FOLD = LOWER.copy()
@@ -57,6 +59,24 @@ def grams(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (mix(code) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), text
 
 
+def counted(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text and bucket as one number, sorted and distinct; occurrences) of the grams; long texts are read a piece at a time."""
+    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a in range(0, len(buf), PIECE_BYTES):
+        b = min(len(buf), a + PIECE_BYTES + GRAM - 1)
+        g, at = grams(buf[a:b], np.clip(offs, a, b) - a)
+        key, n = np.unique((at << BUCKET_BITS) | g, return_counts=True)
+        keys.append(key)
+        counts.append(n)
+    if len(keys) == 2:
+        return keys[1], counts[1]
+    key, n = np.concatenate(keys), np.concatenate(counts)
+    o = np.argsort(key, kind="stable")
+    key, n = key[o], n[o]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(n, first) if len(first) else n
+
+
 def learned(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """The languages of labelled docs (text, lang), sorted, and the logarithm of each one's n-gram probabilities."""
     size = 1 << BUCKET_BITS
@@ -68,8 +88,8 @@ def learned(docs: DataFrame) -> tuple[list[str], np.ndarray]:
             langs = t.column("lang").to_pylist()
             names = sorted(set(langs))
             number = np.array([names.index(x) for x in langs])
-            g, at = grams(buf, offs)
-            got = np.bincount(number[at] * size + g, minlength=size * len(names)).reshape(len(names), size)
+            key, n = counted(buf, offs)
+            got = np.bincount(number[key >> BUCKET_BITS] * size + (key & (size - 1)), weights=n, minlength=size * len(names)).astype(np.int64).reshape(len(names), size)
             for name, row in zip(names, got, strict=True):
                 total[name] = total.get(name, 0) + row
         if total:
@@ -102,13 +122,10 @@ def mixtures(buf: np.ndarray, offs: np.ndarray, logp: np.ndarray, rounds: int =
     """Proportions (texts x languages); zero outside the chosen set; all zero where a text has no n-gram."""
     n, k = len(offs) - 1, len(logp)
     out = np.zeros((n, k))
-    g, at = grams(buf, offs)
-    if not len(g) or not k:
+    key, count = counted(buf, offs)
+    if not len(key) or not k:
         return out
-    key = np.sort((at << BUCKET_BITS) | g)
-    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    count = np.diff(np.append(new, len(key))).astype(np.float64)
-    key = key[new]
+    count = count.astype(np.float64)
     g, at = key & ((1 << BUCKET_BITS) - 1), key >> BUCKET_BITS
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     texts = at[first]
