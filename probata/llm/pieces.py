@@ -13,6 +13,7 @@ segments of a text for which they did are reported.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -22,6 +23,8 @@ from pyspark.sql import DataFrame
 SPACE = "▁"
 #: Distinct segments, and characters of them and their ids, that a Python worker remembers before it starts anew.
 REMEMBERED, REMEMBERED_CHARS = 200_000, 8_000_000
+#: Segments of a text that are held at once.
+SEGMENTS = 1 << 16
 #: Characters of new segments that are worked out together.
 TOGETHER = 1 << 17
 
@@ -265,25 +268,29 @@ class Vocabulary:
                 out += [sym[i]] if 0 <= sym[i] < self.n else [self.byte_id[x] for x in c.encode("utf-8", "surrogatepass")]
         return out
 
-    def encoded(self, texts: list[str]) -> list[tuple[str, str, int]]:
-        """(ids joined by commas, decoded text, segments for which the library's ids count) of each text."""
-        split = [SEGMENT.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        if len(self.strings) > REMEMBERED or self.chars > REMEMBERED_CHARS:
-            self._forget()
-        known = [list(map(self.strings.get, s)) for s in split]
-        new = {s for segs, got in zip(split, known, strict=True) if None in got for s, k in zip(segs, got, strict=True) if k is None}
-        if new:
-            self.learn(new)
-            known = [list(map(self.strings.__getitem__, segs)) if None in got else got for segs, got in zip(split, known, strict=True)]
-        out = []
-        for segs, got in zip(split, known, strict=True):
-            if self.decoded and not self.decoded.keys().isdisjoint(segs):
-                back = "".join([self.decoded.get(s, s) for s in segs])
-            else:
-                back = "".join(segs)
-            differ = sum(x in self.corrected for x in segs) if self.corrected else 0
-            out.append((",".join(got), back.replace(SPACE, " ")[1:], differ))
-        return out
+    def known(self, segments: list[str]) -> list[str]:
+        """The ids of each segment, joined by commas."""
+        got = list(map(self.strings.get, segments))
+        if None in got:
+            if len(self.strings) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+                self._forget()
+                got = [None] * len(segments)
+            self.learn({s for s, k in zip(segments, got, strict=True) if k is None})
+            got = list(map(self.strings.__getitem__, segments))
+        return got
+
+    def encoded(self, text: str):
+        """(ids joined by commas, decoded text, number of ids, segments for which the library's ids count) of a text, a part of its segments at a time."""
+        if not text:
+            return
+        segments = (m[0] for m in SEGMENT.finditer(SPACE + text.replace(" ", SPACE)))
+        first = True
+        while part := list(itertools.islice(segments, SEGMENTS)):
+            got = self.known(part)
+            back = "".join([self.decoded.get(s, s) for s in part] if self.decoded else part).replace(SPACE, " ")
+            ids = ",".join(got)
+            yield ids if first else "," + ids, back[1:] if first else back, ids.count(",") + 1, sum(s in self.corrected for s in part) if self.corrected else 0
+            first = False
 
 
 #: A run of white space with what follows; every segment starts with white space.
@@ -317,16 +324,21 @@ def encoded(docs: DataFrame, model: str, keep_text: bool = False, batch_bytes: i
     def run(batches):
         v = vocabulary(model)
         for t in gathered(batches, batch_bytes, "text"):
-            rows = v.encoded(t.column("text").to_pylist())
-            cols = [
-                t.column("doc_id").combine_chunks(),
-                pa.array([s.count(",") + 1 if s else 0 for s, _, _ in rows], pa.int64()),
-                pa.array([hashlib.sha256(s.encode()).hexdigest() for s, _, _ in rows], pa.string()),
-                pa.array([hashlib.sha256(d.encode()).hexdigest() for _, d, _ in rows], pa.string()),
-                pa.array([n for _, _, n in rows], pa.int64()),
-            ]
+            # New segments of all texts at once; those of a long text follow as it is read.
+            v.known([s for x in t.column("text") if len(x.as_py()) < SEGMENTS for s in SEGMENT.findall(SPACE + x.as_py().replace(" ", SPACE))])
+            rows = []
+            for x in t.column("text"):
+                ids, decoded, n, differ, whole = hashlib.sha256(), hashlib.sha256(), 0, 0, []
+                for part, back, more, off in v.encoded(x.as_py()):
+                    ids.update(part.encode())
+                    decoded.update(back.encode())
+                    n, differ = n + more, differ + off
+                    if keep_text:
+                        whole.append(back)
+                rows.append((n, ids.hexdigest(), decoded.hexdigest(), differ, "".join(whole)))
+            cols = [t.column("doc_id").combine_chunks(), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string(), pa.int64())))]
             if keep_text:
-                cols.append(pa.array([d for _, d, _ in rows], pa.string()))
+                cols.append(pa.array([r[4] for r in rows], pa.string()))
             yield pa.RecordBatch.from_arrays(cols, names=names)
         # Workers outlive tasks: the next stage has other uses for the memory.
         v._forget()

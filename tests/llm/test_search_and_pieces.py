@@ -89,6 +89,14 @@ def test_pieces_equal_the_library(spark):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
+def test_parts_of_a_long_text(monkeypatch):
+    v = pieces.vocabulary(piece_model())
+    monkeypatch.setattr(pieces, "SEGMENTS", 7)
+    for t in ("  the quick  brown fox, 日本 \U0010ffff and so on " * 9, "x " * 40, "a", "  "):
+        parts = list(v.encoded(t))
+        assert "".join(p[0] for p in parts) == ",".join(map(str, v.library.encode(t))) and "".join(p[1] for p in parts) == v.library.decode(v.library.encode(t))
+
+
 def test_long_segments_take_the_heap():
     v = pieces.vocabulary(piece_model())
     s = "▁" + "thequickbrown" * 700
@@ -104,7 +112,7 @@ def test_memory_of_segments_is_bounded(monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBERED", 50)
     for i in range(5):
         texts = [f"word{i}x{j} again" for j in range(60)]
-        assert [a for a, _, _ in v.encoded(texts)] == [",".join(map(str, x)) for x in v.library.encode(texts)]
+        assert [",".join(p[0] for p in v.encoded(t)) for t in texts] == [",".join(map(str, x)) for x in v.library.encode(texts)]
         assert len(v.strings) <= 50 + 120
 
 
@@ -112,7 +120,7 @@ def test_memory_of_long_segments_is_bounded(monkeypatch):
     v = pieces.Vocabulary(piece_model())
     monkeypatch.setattr(pieces, "REMEMBERED_CHARS", 20_000)
     for i in range(6):
-        v.encoded([f"{i}" * 3000])
+        list(v.encoded(f"{i}" * 3000))
         assert v.chars <= 20_000 + 10_000 * 2
 
 
@@ -120,7 +128,8 @@ def test_the_library_decides(monkeypatch):
     v = pieces.Vocabulary(piece_model())
     monkeypatch.setattr(v, "agenda", lambda part: [[7] for _ in part])
     text = "two words"
-    assert v.encoded([text, ""]) == [(",".join(map(str, v.library.encode(text))), text, 2), ("", "", 0)]
+    ids = v.library.encode(text)
+    assert list(v.encoded(text)) == [(",".join(map(str, ids)), text, len(ids), 2)] and list(v.encoded("")) == []
 
 
 def test_other_vocabularies_are_refused(tmp_path):
