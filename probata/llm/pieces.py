@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 
 SPACE = "▁"
 #: Distinct segments, and characters of them and their ids, that a Python worker remembers before it starts anew.
-REMEMBERED, REMEMBERED_CHARS = 200_000, 8_000_000
+REMEMBERED, REMEMBERED_CHARS = 400_000, 16_000_000
 #: Segments of a text that are held at once.
 SEGMENTS = 1 << 16
 #: Characters of new segments that are worked out together.
-TOGETHER = 1 << 17
+TOGETHER = 1 << 19
 
 
 class Vocabulary:
@@ -279,11 +279,11 @@ class Vocabulary:
             got = list(map(self.strings.__getitem__, segments))
         return got
 
-    def encoded(self, text: str):
+    def encoded(self, text: str, segments: list[str] | None = None):
         """(ids joined by commas, decoded text, number of ids, segments for which the library's ids count) of a text, a part of its segments at a time."""
         if not text:
             return
-        segments = (m[0] for m in SEGMENT.finditer(SPACE + text.replace(" ", SPACE)))
+        segments = iter(segments) if segments else (m[0] for m in SEGMENT.finditer(SPACE + text.replace(" ", SPACE)))
         first = True
         while part := list(itertools.islice(segments, SEGMENTS)):
             got = self.known(part)
@@ -316,7 +316,7 @@ def encoded(docs: DataFrame, model: str, keep_text: bool = False, batch_bytes: i
     empty; the empty text has no ids. Rows stay one to one, repeated ones too;
     other columns are not read. Whole texts of any length; a text of one segment is one agenda.
     """
-    from .common import gathered, let_go, with_text
+    from .common import gathered, with_text
 
     schema = OUT if keep_text else OUT.rsplit(",", 1)[0]
     names = [c.split()[0] for c in schema.split(", ")]
@@ -324,12 +324,14 @@ def encoded(docs: DataFrame, model: str, keep_text: bool = False, batch_bytes: i
     def run(batches):
         v = vocabulary(model)
         for t in gathered(batches, batch_bytes, "text"):
-            # New segments of all texts at once; those of a long text follow as it is read.
-            v.known([s for x in t.column("text") if len(x.as_py()) < SEGMENTS for s in SEGMENT.findall(SPACE + x.as_py().replace(" ", SPACE))])
+            # New segments of all short texts at once; those of a long text follow as it is read.
+            texts = t.column("text").to_pylist()
+            split = [SEGMENT.findall(SPACE + x.replace(" ", SPACE)) if 0 < len(x) < SEGMENTS else None for x in texts]
+            v.known(list({s for segments in split if segments for s in segments}))
             rows = []
-            for x in t.column("text"):
+            for x, segments in zip(texts, split, strict=True):
                 ids, decoded, n, differ, whole = hashlib.sha256(), hashlib.sha256(), 0, 0, []
-                for part, back, more, off in v.encoded(x.as_py()):
+                for part, back, more, off in v.encoded(x, segments):
                     ids.update(part.encode())
                     decoded.update(back.encode())
                     n, differ = n + more, differ + off
@@ -340,8 +342,5 @@ def encoded(docs: DataFrame, model: str, keep_text: bool = False, batch_bytes: i
             if keep_text:
                 cols.append(pa.array([r[4] for r in rows], pa.string()))
             yield pa.RecordBatch.from_arrays(cols, names=names)
-        # Workers outlive tasks: the next stage has other uses for the memory.
-        v._forget()
-        let_go()
 
     return with_text(docs, "doc_id").mapInArrow(run, schema)
