@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from probata.operators.staging import cut as staged  # noqa: F401
 from probata.operators.staging import dropped  # noqa: F401
 
+#: Bytes of an Arrow batch that goes to a Python worker; both sides hold a few of them. The setting's value in a session that does not set it is 64 MB.
+ARROW_BYTES = 4 << 20
+ARROW_SETTING, ARROW_UNSET = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -55,6 +59,14 @@ def binaries(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, type=pa.binary())
 
 
+def in_batches(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow(run, schema), whose batches hold about ARROW_BYTES instead of 10,000 rows of any length; a session's own setting stands."""
+    conf = df.sparkSession.conf
+    if conf.get(ARROW_SETTING, None) == ARROW_UNSET:
+        conf.set(ARROW_SETTING, str(ARROW_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def let_go() -> None:
     """Gives memory that is free within this Python worker back to the machine; workers outlive tasks."""
     pa.default_memory_pool().release_unused()

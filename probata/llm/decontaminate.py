@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gathered, text_buffers
+from .common import gathered, in_batches, text_buffers
 from .textops import LOWER, U64, mix, run_hash, words
 
 #: Edits allowed, per hundred words of an item.
@@ -261,7 +261,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     names=["doc_id", "item_id", "item_words", "edits", "word"],
                 )
 
-        out = out.union(rows.mapInArrow(run, schema))
+        out = out.union(in_batches(rows, run, schema))
     best = F.min(F.struct("edits", "item_words", "word")).alias("b")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.item_words", "b.edits", "b.word")
 
@@ -280,5 +280,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 keep[leaks_in(sent.value, buf, offs)[0]] = False
                 yield from t.filter(pa.array(keep)).to_batches()
 
-        out = out.mapInArrow(run, out.schema)
+        out = in_batches(out, run, out.schema)
     return out

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gathered
+from .common import gathered, in_batches
 
 #: Size of the composed training sample, and of the model.
 TRAINING_PAGES, TREES, DEPTH, RATE, BINS = 700, 60, 4, 0.2, 32
@@ -672,4 +672,4 @@ def extracted(pages: DataFrame, model: Boosted | None = None, batch_bytes: int =
             yield pa.RecordBatch.from_arrays(cols, names=["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return in_batches(rows, run, "page_id long, url string, text string, n_chars long")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from probata.operators.graph import connected_components
 
-from .common import binaries, bucket_bits, dropped, gathered, released, shuffle_partitions, staged, text_buffers
+from .common import binaries, bucket_bits, dropped, gathered, in_batches, released, shuffle_partitions, staged, text_buffers
 from .suffixes import _bucket_rows, _packed, _unpacked
 from .textops import LOWER, U64, mix, run_hash, shingles, words
 
@@ -159,7 +159,7 @@ def read_sets(docs: DataFrame) -> DataFrame:
         k = np.arange(len(parts))
         yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(parts), np.int32)), pa.array(k, pa.int64()), pa.array(k, pa.int64()), pa.array(k, pa.int64()), binaries(parts)], names=["kind", "doc_id", "n", "key", "payload"])
 
-    return docs.select("doc_id", "text").mapInArrow(emit, "kind int, doc_id long, n long, key long, payload binary")
+    return in_batches(docs.select("doc_id", "text"), emit, "kind int, doc_id long, n long, key long, payload binary")
 
 
 def frequency_levels(rows: DataFrame) -> tuple[np.ndarray, float]:
@@ -269,7 +269,7 @@ def list_entries(docs: DataFrame, level: np.ndarray, light: int, bits: int) -> D
         if held:
             yield from flush()
 
-    return docs.select("text").mapInArrow(emit, "bucket int, payload binary")
+    return in_batches(docs.select("text"), emit, "bucket int, payload binary")
 
 
 def _groups(values: np.ndarray) -> np.ndarray:
@@ -410,7 +410,7 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, wide: bool = Fa
                 out.append(_packed(step, (s & U64(0xFFFF)).astype(np.uint16)) if wide else _packed(step))
             yield pa.RecordBatch.from_arrays([pa.array(asked[right]), binaries(out)], names=["key", "hashes"])
 
-    sets = staged(rows.mapInArrow(emit, "key long, hashes binary"))
+    sets = staged(in_batches(rows, emit, "key long, hashes binary"))
     released(spark)
 
     def compare(frames):

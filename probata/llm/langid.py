@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, gathered, shuffle_partitions, text_buffers
+from .common import binaries, gathered, in_batches, shuffle_partitions, text_buffers
 from .textops import LOWER, mix
 
 #: log2 of the n-gram buckets of a language: the model's size is fixed by this and the languages.
@@ -104,7 +104,7 @@ def learned(docs: DataFrame) -> tuple[list[str], np.ndarray]:
         return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
 
     shape = "lang string, counts binary"
-    rows = docs.filter("text is not null and lang is not null").select("text", "lang").mapInArrow(count, shape)
+    rows = in_batches(docs.filter("text is not null and lang is not null").select("text", "lang"), count, shape)
     # The rows of a language are as many as tasks: added up in two steps.
     n = shuffle_partitions(docs.sparkSession)
     part = rows.withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(max(1, round(n**0.5)))))
@@ -194,7 +194,7 @@ def identified(docs: DataFrame, train: DataFrame) -> DataFrame:
             t = t.drop_columns([flag]).append_column("lang_pred", pa.array(pred, pa.string())).append_column("score", pa.array(np.clip(score, 0.0, 1.0)))
             yield from t.to_batches()
 
-    return rows.mapInArrow(run, schema)
+    return in_batches(rows, run, schema)
 
 
 def held_out_identified(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:

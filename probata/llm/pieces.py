@@ -316,7 +316,7 @@ def encoded(docs: DataFrame, model: str, keep_text: bool = False, batch_bytes: i
     empty; the empty text has no ids. Rows stay one to one, repeated ones too;
     other columns are not read. Whole texts of any length; a text of one segment is one agenda.
     """
-    from .common import gathered, with_text
+    from .common import gathered, in_batches, with_text
 
     schema = OUT if keep_text else OUT.rsplit(",", 1)[0]
     names = [c.split()[0] for c in schema.split(", ")]
@@ -343,4 +343,4 @@ def encoded(docs: DataFrame, model: str, keep_text: bool = False, batch_bytes: i
                 cols.append(pa.array([r[4] for r in rows], pa.string()))
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return with_text(docs, "doc_id").mapInArrow(run, schema)
+    return in_batches(with_text(docs, "doc_id"), run, schema)

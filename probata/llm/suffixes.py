@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binaries, gathered, released, shuffle_partitions, staged, text_buffers
+from .common import binaries, gathered, in_batches, released, shuffle_partitions, staged, text_buffers
 from .textops import BYTE_VALUE, U64, distinct_by_text, mix, span_hash
 
 WINDOW = 50
@@ -259,7 +259,7 @@ def shared_grams(docs: DataFrame, bits: int, window: int = WINDOW) -> np.ndarray
         on[at] = 1
         return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "marks": [zlib.compress(np.packbits(on).tobytes(), 1)]})
 
-    rows = docs.select("text").mapInArrow(emit, "bucket int, keys binary")
+    rows = in_batches(docs.select("text"), emit, "bucket int, keys binary")
     out = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     size = len(out) >> bits
     for r in rows.groupBy("bucket").applyInPandas(mark, "bucket int, marks binary").collect():  # all slices of the bitmap
@@ -370,7 +370,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             i += k
         return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "runs": out})
 
-    blocks = staged(docs.withColumn("crc", F.crc32("text")).mapInArrow(emit, "block long, bucket int, frags binary, places binary"))
+    blocks = staged(in_batches(docs.withColumn("crc", F.crc32("text")), emit, "block long, bucket int, frags binary, places binary"))
     runs = staged(blocks.select("block", "bucket", "frags").groupBy("bucket").applyInPandas(resolve, "block long, bucket int, runs binary"))
     released(spark)
     both = blocks.select("block", "bucket", "places").join(runs, ["block", "bucket"])
@@ -467,4 +467,4 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, keep: bool = False) -> D
             arrays = [t.column("doc_id").combine_chunks(), *(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.string())] + [binaries(out[4])] * keep
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: len(arrays)])
 
-    return both.mapInArrow(cut, schema)
+    return in_batches(both, cut, schema)
