@@ -41,7 +41,7 @@ class Vocabulary:
         self.id_of = {sp.id_to_piece(i): i for i in plain}
         if any(SPACE in p.lstrip(SPACE) for p in self.id_of):
             raise ValueError("a piece holds white space after another character")
-        self.pieces = [sp.id_to_piece(i) for i in range(n)]
+        self.numbers = [str(i) for i in range(n)]
         self.byte_id = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         if not all(sp.is_byte(i) for i in self.byte_id):
             raise ValueError("the vocabulary has no byte pieces")
@@ -204,7 +204,8 @@ class Vocabulary:
     def learn(self, segments: set[str]) -> None:
         """Works out new segments, the longest apart from the short, and checks each against the library."""
         todo = sorted(segments, key=len)
-        piece = self.pieces.__getitem__
+        # Pieces that are no bytes add up to the segment.
+        number, plain = self.numbers.__getitem__, frozenset(self.text_of)
         i = 0
         while i < len(todo):
             j, cells = i, 0
@@ -221,9 +222,9 @@ class Vocabulary:
                 if a != b and s != SPACE:
                     self.corrected.add(s)
                     a = b
-                self.strings[s] = ids_of = ",".join(map(str, a))
+                self.strings[s] = ids_of = ",".join(map(number, a))
                 self.chars += len(s) + len(ids_of)
-                if "".join(map(piece, a)) != s:
+                if not plain.issuperset(a):
                     self.decoded[s] = self.decode_ids(a)
             i = j
 
