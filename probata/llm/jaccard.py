@@ -8,8 +8,8 @@ shingles first by a sketch of fixed size; pairs met in a list are verified on th
 heavy is where subsets would cost more than lists. Two linked sets are met in the list of their rarest common shingle, where neither can
 share more than what stands from its place on; members that cannot reach any other's size so leave a list, and pairs that cannot are not made. All
 pairs of a short list are verified. The sets of a long one are first linked to the few with the smallest share of rare shingles, which are the same in all
-lists of a group; then every pair of a list that is not yet in one component is verified too, long lists being dealt in chunks. Before sets
-are compared, a pair must be able to link by its bins: each set has its shingles counted by the low bits of their hashes, in about as many bins as
+lists of a group; then every pair of a list that is not yet in one component is verified too, long lists being dealt in chunks. Before a pair of a
+long list is made, or sets are compared, it must be able to link by its bins: each set has its shingles counted by the low bits of their hashes, in about as many bins as
 a quarter of its size, and what one set has more of in a bin cannot be shared. So no link between components is lost, though pairs within them are not all looked at.
 """
 
@@ -205,6 +205,8 @@ def subset_keys(n: int, h: np.ndarray, lightest: int) -> list[tuple[int, np.ndar
 LIST, SUBSET, MEMBERS = 0, 1, 2
 #: Lists up to this length give all their pairs; leaders of a longer one that its sets are linked to at first; members that a row holds.
 SHORT, LEADERS, CHUNK = 4, 8, 1024
+#: Bytes of bins that a chunk holds, about.
+CHUNK_BYTES = 4 << 20
 
 
 def list_entries(docs: DataFrame, level: np.ndarray, light: int, bits: int) -> DataFrame:
@@ -446,20 +448,32 @@ def _set(packed: bytes, wide: bool) -> np.ndarray:
 
 
 def _across(frames):
-    """Pairs of a list's sets, or of two chunks of it, that are in different components and can link by size."""
+    """Pairs of a list's sets, or of two chunks of it, that are in different components and can link by size and by bins."""
     for pdf in frames:
         a, b = [], []
         for one, members in zip(pdf["one"], pdf["members"], strict=True):
             n, key, root, chunk = (np.array([m[c] for m in members], np.int64) for c in ("n", "key", "root", "chunk"))
             o = np.argsort(n, kind="stable")
             n, key, root, chunk = n[o], key[o], root[o], chunk[o]
+            bins = [np.frombuffer(members[i]["payload"], np.uint8) for i in o]
+            width = np.array([len(x) for x in bins])
+            # Sets with as many bins stand together, in a table of their own.
+            tables = {w: np.stack([bins[i] for i in np.flatnonzero(width == w)]) for w in np.unique(width).tolist()}
+            row = np.zeros(len(n), np.int64)
+            for w, t in tables.items():
+                row[width == w] = np.arange(len(t))
             top = np.searchsorted(n, 100 * n // PERCENT, side="right")
             for i in range(len(n)):
                 part = slice(i + 1, top[i])
                 other = np.flatnonzero((root[part] != root[i]) & (one | (chunk[part] != chunk[i]))) + i + 1
-                if len(other):
-                    a.append(np.full(len(other), key[i]))
-                    b.append(key[other])
+                for w in np.unique(width[other]).tolist():
+                    alike = other[width[other] == w]
+                    step = max(1, (1 << 20) // (w + len(bins[i])))
+                    for j in range(0, len(alike), step):
+                        some = alike[j : j + step]
+                        some = some[most_shared(n[i : i + 1], bins[i][None], n[some], tables[w][row[some]]) >= needed(n[i], n[some])]
+                        a.append(np.full(len(some), key[i]))
+                        b.append(key[some])
         if a:
             a, b = np.concatenate(a), np.concatenate(b)
             yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
@@ -510,15 +524,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     entry = staged(entry.join(own, "key", "left").select("list", "key", "n", F.coalesce("root", "key").alias("root")))
     dropped(met, roots)
     released(spark)
-    mixed = entry.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("c")).filter("lo <> hi").select("list", F.ceil(F.col("c") / CHUNK).alias("chunks"))
+    mixed = entry.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("c"), F.sum(F.greatest(F.lit(BINS), 2 * F.col("n") / OF_BIN)).alias("size"))
+    mixed = mixed.filter("lo <> hi").select("list", F.ceil(F.greatest(F.col("c") / CHUNK, F.col("size") / CHUNK_BYTES)).alias("chunks"))
     # Each chunk of a list meets each, in a row of its own.
-    dealt = entry.join(mixed, "list").withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks")).withColumn("with", F.explode(F.expr("sequence(0L, chunks - 1)")))
-    dealt = dealt.select("list", F.least("chunk", "with").alias("low"), F.greatest("chunk", "with").alias("high"), F.struct("key", "n", "root", "chunk").alias("member"))
+    dealt = entry.join(mixed, "list").withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks")).join(bins.select("key", "payload"), "key").withColumn("with", F.explode(F.expr("sequence(0L, chunks - 1)")))
+    dealt = dealt.select("list", F.least("chunk", "with").alias("low"), F.greatest("chunk", "with").alias("high"), F.struct("key", "n", "root", "chunk", "payload").alias("member"))
     grouped = dealt.groupBy("list", "low", "high").agg(F.collect_list("member").alias("members")).select((F.col("low") == F.col("high")).alias("one"), "members")
     rest = staged(grouped.mapInPandas(_across, "a long, b long").distinct())
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = rest.join(done, ["a", "b"], "left_anti")
-    second = verified(possible(rest, bins), reps_of, rows)
+    rest = staged(rest.join(done, ["a", "b"], "left_anti"))
+    second = verified(rest, reps_of, rows)
     dropped(entry, bins, pairs)
     links = staged(first.union(second))
     more = connected_components(links).select(F.col("node").alias("key"), "root")

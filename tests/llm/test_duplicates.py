@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from probata.llm import jaccard, linededup, suffixes
@@ -161,6 +162,22 @@ def test_bins_never_understate_an_overlap():
     assert jaccard.most_shared(np.array([300]), jaccard.binned(crowd)[None], np.array([300]), jaccard.binned(np.arange(300, dtype=np.uint64))[None])[0] == 300
 
 
+def test_long_lists_lose_no_link_and_make_few_pairs():
+    r = np.random.default_rng(7)
+    shared, sets = r.integers(0, 1 << 63, 60), []
+    for k in range(60):
+        base = np.concatenate([shared[: r.integers(1, 60)], r.integers(0, 1 << 63, int(r.integers(20, 400)))])
+        sets += [np.unique(np.concatenate([base[r.random(len(base)) < 0.95], r.integers(0, 1 << 63, 3)])).astype(np.uint64) for _ in range(3)]
+    root = [k // 6 if k % 4 else 1000 + k for k in range(len(sets))]
+    members = [{"key": k, "n": len(s), "root": root[k], "chunk": k % 2, "payload": jaccard.binned(s).tobytes()} for k, s in enumerate(sets)]
+    links = {(a, b) for a in range(len(sets)) for b in range(a) for m in [len(np.intersect1d(sets[a], sets[b]))] if 100 * m >= 80 * (len(sets[a]) + len(sets[b]) - m)}
+    for one in (True, False):
+        asked = {(min(a, b), max(a, b)) for a, b in links if root[a] != root[b] and (one or a % 2 != b % 2)}
+        got = [tuple(x) for f in jaccard._across([pd.DataFrame({"one": [one], "members": [members]})]) for x in f.itertuples(index=False)]
+        assert asked and asked <= set(got) and len(got) == len(set(got)) < 10 * len(links)
+        assert all(root[a] != root[b] and (one or a % 2 != b % 2) for a, b in got)
+
+
 def test_chance_matches_of_large_sets_are_allowed_for():
     r = np.random.default_rng(6)
     for n in (1000, 200_000, 600_000):
