@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import binaries, bucket_bits, gathered, in_batches, released, shuffle_partitions, staged, text_buffers
 from .langid import remainder
 from .suffixes import _bucket_rows, _packed, _unpacked
-from .textops import LOWER, U64, mix, run_hash, words
+from .textops import LOWER, U64, from_planes, mix, planes, run_hash, words
 
 #: Context lengths in bytes; runs are dealt by the nearest HOME bytes.
 ORDERS = (1, 2, 3, 4, 6)
@@ -242,16 +242,6 @@ def put_together(sums: np.ndarray, maps: np.ndarray, bounds: np.ndarray) -> np.n
 WORD, TEXT, GRAM, LOW = "word", "text", "gram", "low"
 
 
-def planes(a: np.ndarray) -> np.ndarray:
-    """The bytes of numbers, all first ones first, as they pack best."""
-    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).ravel()
-
-
-def from_planes(b: np.ndarray, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(b.reshape(size, len(b) // size).T).ravel().view(kind)
-
-
 def runs_packed(code: np.ndarray, count: np.ndarray) -> bytes:
     return _packed(planes(np.diff(code, prepend=U64(0))), planes(count.astype(np.int32)))
 

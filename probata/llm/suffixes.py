@@ -2,9 +2,9 @@
 
 Equal strings of WINDOW bytes have the same least k-gram (by hash) at the same place, so each
 window belongs to one k-gram occurrence, and a fragment is all windows of one occurrence. 1. A window reaches at
-least half its other bytes beyond its k-gram to the left or to the right; k-grams with either side that two documents share are
-marked in a bitmap of bounded size. 2. Fragments with a marked side are dealt into buckets by their k-gram, each distinct
-one of a block of documents once, with the least document that holds it. 3. In a bucket, a suffix array over the fragments is built by two-stage
+least half its other bytes beyond its k-gram to the left or to the right; blocks of documents send their k-grams with either side to
+buckets, which answer, by one bit each, which of them two documents share. 2. Fragments with a shared side are dealt into buckets by their k-gram, each distinct
+one of a block once, with the least document that holds it. 3. In a bucket, a suffix array over the fragments is built by two-stage
 sorting: only suffixes smaller than their successors are sorted, the others follow from bucket
 scans; neighbours with a common prefix of WINDOW bytes are the same string. The least document of
 each string goes back to the blocks, and from there to the documents.
@@ -15,7 +15,6 @@ from __future__ import annotations
 import hashlib
 import struct
 import uuid
-import zlib
 
 import numpy as np
 import pandas as pd
@@ -23,18 +22,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binaries, gathered, in_batches, released, shuffle_partitions, staged, text_buffers
-from .textops import BYTE_VALUE, U64, distinct_by_text, mix, span_hash
+from .common import binaries, bucket_bits, dropped, gathered, in_batches, let_go, released, staged, text_buffers
+from .textops import BYTE_VALUE, U64, distinct_by_text, from_planes, mix, planes, span_hash
 
 WINDOW = 50
 GRAM = 12
-#: log2 of the bits of the bitmap of shared k-grams that goes to every executor: 16 MB.
-BITMAP_BITS = 27
+#: Bits of a k-gram with a side that are compared. Two that differ meet by chance in one of 2**KEY_BITS pairs, which costs a fragment sent for nothing.
+KEY_BITS = 44
 BATCH_BYTES = 1 << 20
 #: Texts are cut into overlapping pieces of this size, and blocks flushed beyond it.
 PIECE_BYTES = 1 << 23
 BLOCK_BYTES = 8 << 20
-FLUSH_KEYS = 1 << 22
+#: Text for which there is one bucket at least.
+BUCKET_BYTES = 512 << 20
 
 
 def occurrences(buf: np.ndarray, offs: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -223,53 +223,127 @@ def _bucket_rows(values: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
     return [(int(b[x]), int(x), int(y)) for x, y in zip(cut[:-1], cut[1:], strict=True)]
 
 
-def shared_grams(docs: DataFrame, bits: int, window: int = WINDOW) -> np.ndarray:
-    """The bitmap (bytes) over the top BITMAP_BITS of the side keys that two rows of docs share."""
+def text_blocks(docs: DataFrame) -> DataFrame:
+    """(block, payload): the rows of docs (doc_id, text, crc) in blocks of about BLOCK_BYTES of text."""
 
-    def emit(batches):
+    def pack(batches):
         held, size = [], 0
 
         def flush():
-            keys = np.sort(np.concatenate(held))
-            keep = np.ones(len(keys), bool)
-            keep[2:] = keys[2:] != keys[:-2]  # a third copy tells no more
-            keys = keys[keep]
-            rows = _bucket_rows(keys, bits)
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), binaries([keys[a:b].tobytes() for _, a, b in rows])], names=["bucket", "keys"])
+            offs = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(h[1]) for h in held]))])
+            payload = _packed(np.concatenate([h[0] for h in held]), offs, *(np.concatenate([h[k] for h in held]) for k in (2, 3)))
+            return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), binaries([payload])], names=["block", "payload"])
 
         for t in gathered(batches, BATCH_BYTES, "text"):
             buf, offs = text_buffers(t.column("text"))
-            _, text, _, _, place = occurrences(buf, offs, window)
-            lk, rk, left, right = side_keys(buf, offs, text, place, window)
-            key, _ = distinct_by_text(np.concatenate([lk[left], rk[right]]), np.concatenate([text[left], text[right]]))
-            if len(key):
-                held.append(key)
-                size += len(key)
-            if size >= FLUSH_KEYS:
-                yield from flush()
+            held.append((buf.copy(), offs, t.column("doc_id").to_numpy(), t.column("crc").to_numpy()))
+            size += len(buf)
+            if size >= BLOCK_BYTES:
+                yield flush()
                 held, size = [], 0
         if held:
-            yield from flush()
+            yield flush()
 
-    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = np.sort(np.concatenate([np.frombuffer(x, "<u8") for x in pdf["keys"]]))
-        two = keys[1:][keys[1:] == keys[:-1]]
-        at = (two >> U64(64 - BITMAP_BITS)).astype(np.int64) & ((1 << (BITMAP_BITS - bits)) - 1)
-        on = np.zeros(1 << (BITMAP_BITS - bits), np.uint8)
-        on[at] = 1
-        return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "marks": [zlib.compress(np.packbits(on).tobytes(), 1)]})
-
-    rows = in_batches(docs.select("text"), emit, "bucket int, keys binary")
-    out = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-    size = len(out) >> bits
-    for r in rows.groupBy("bucket").applyInPandas(mark, "bucket int, marks binary").collect():  # all slices of the bitmap
-        out[r["bucket"] * size : (r["bucket"] + 1) * size] = np.frombuffer(zlib.decompress(bytes(r["marks"])), np.uint8)
-    return out
+    return in_batches(docs, pack, "block long, payload binary")
+
+
+def slices(payload: bytes):
+    """(bytes, offsets, doc_id, crc) of the texts of a block, about BATCH_BYTES at a time."""
+    buf, offs, ids, crcs = _unpacked(payload, "u1", "<i8", "<i8", "<i8")
+    a = 0
+    while a < len(ids):
+        b = max(a + 1, int(np.searchsorted(offs, offs[a] + BATCH_BYTES, side="right")) - 1)
+        yield buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a], ids[a:b], crcs[a:b]
+        a = b
+
+
+def short_keys(buf: np.ndarray, offs: np.ndarray, text: np.ndarray, place: np.ndarray, window: int):
+    """side_keys of KEY_BITS."""
+    lk, rk, left, right = side_keys(buf, offs, text, place, window)
+    return lk >> U64(64 - KEY_BITS), rk >> U64(64 - KEY_BITS), left, right
 
 
-def _marked(marks: np.ndarray, key: np.ndarray) -> np.ndarray:
-    at = (key >> U64(64 - BITMAP_BITS)).astype(np.int64)
-    return (marks[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+def key_bounds(keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
+    return _bucket_rows(keys << U64(64 - KEY_BITS), bits)
+
+
+def shared_keys(blocks: DataFrame, bits: int, window: int = WINDOW) -> DataFrame:
+    """(block, bucket, marks): for the distinct keys of each block, sorted, whether two rows hold one; a bit each, by bucket."""
+
+    def emit(batches):
+        for batch in batches:
+            for name, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held = []
+                for buf, offs, _, _ in slices(payload.as_py()):
+                    _, text, _, _, place = occurrences(buf, offs, window)
+                    lk, rk, left, right = short_keys(buf, offs, text, place, window)
+                    held.append(distinct_by_text(np.concatenate([lk[left], rk[right]]), np.concatenate([text[left], text[right]]))[0])
+                keys = np.sort(np.concatenate(held))
+                if not len(keys):
+                    continue
+                first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+                twice = np.diff(np.append(first, len(keys))) > 1
+                keys = keys[first]
+                rows = key_bounds(keys, bits)
+                packed = [_packed(planes(np.diff(keys[a:b], prepend=U64(0))), np.packbits(twice[a:b])) for _, a, b in rows]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int32()), binaries(packed)], names=["block", "bucket", "keys"])
+        let_go()
+
+    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = [_unpacked(x, "u1", "u1") for x in pdf["keys"]]
+        keys = [np.cumsum(from_planes(p[0], "<u8"), dtype=U64) for p in parts]
+        size = [len(k) for k in keys]
+        twice = np.concatenate([np.unpackbits(p[1], count=n) for p, n in zip(parts, size, strict=True)]).astype(bool)
+        keys = np.concatenate(keys)
+        o = np.argsort(keys, kind="stable")
+        new = np.concatenate([[True], keys[o][1:] != keys[o][:-1]])
+        first = np.flatnonzero(new)
+        many = (np.diff(np.append(first, len(o))) > 1) | np.logical_or.reduceat(twice[o], first)
+        shared = np.empty(len(o), bool)
+        shared[o] = many[np.cumsum(new) - 1]
+        marks = [_packed(np.packbits(x)) for x in np.split(shared, np.cumsum(size)[:-1])]
+        return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "marks": marks})
+
+    rows = in_batches(blocks, emit, "block long, bucket int, keys binary")
+    return rows.groupBy("bucket").applyInPandas(mark, "block long, bucket int, marks binary")
+
+
+def hot_fragments(payload: bytes, found: pd.DataFrame, bits: int, window: int):
+    """(key, hash, doc_id, crc, first byte, length, bytes) of the fragments of a block with a shared side, only as far as it reaches; found has the block's marks."""
+    side = (window - GRAM) // 2
+    parts = []
+    for buf, offs, ids, crcs in slices(payload):
+        key, text, a, m, place = occurrences(buf, offs, window)
+        parts.append((buf, offs, ids, crcs, key, text, a, m, place, *short_keys(buf, offs, text, place, window)))
+    keys = np.sort(np.concatenate([np.concatenate([p[9][p[11]], p[10][p[12]]]) for p in parts]))
+    if not len(keys):
+        return
+    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+    marks = dict(zip(found["bucket"], found["marks"], strict=True))
+    # The same distinct keys as were sent, in the same order.
+    shared = np.concatenate([np.unpackbits(_unpacked(marks[x], "u1")[0], count=b - a) for x, a, b in key_bounds(keys, bits)]).astype(bool)
+    keys = keys[shared]
+
+    def hot_of(key, there):
+        on = np.flatnonzero(there)
+        at = np.searchsorted(keys, key[on])
+        out = np.zeros(len(key), bool)
+        out[on] = np.append(keys, U64(0))[at] == key[on] if len(keys) else False
+        return out
+
+    for buf, offs, ids, crcs, key, text, a, m, place, lk, rk, left, right in parts:
+        left, right = hot_of(lk, left), hot_of(rk, right)
+        # With one side shared, only the windows that reach as far on that side.
+        end = np.where(right, a + m, np.minimum(a + m, place - side + 1))
+        a = np.where(left, a, np.maximum(a, place - side))
+        m = end - a
+        hot = (left | right) & (m > 0)
+        key, text, a, m = key[hot], text[hot], a[hot], m[hot]
+        if len(key):
+            lens = m + window - 1
+            where = np.repeat(a - np.concatenate([[0], np.cumsum(lens)[:-1]]), lens) + np.arange(lens.sum())
+            data = buf[where]
+            yield key, _fragment_hash(data, lens), ids[text], crcs[text], a - offs[text], lens, data
 
 
 def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -279,19 +353,20 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     spans is pairs of 4-byte numbers, from and to.
     """
     spark = docs.sparkSession
-    bits = min(16, max(6, int(np.ceil(np.log2(4 * shuffle_partitions(spark))))))
-    side = (window - GRAM) // 2
-    marks = spark.sparkContext.broadcast(shared_grams(docs, bits, window))
+    bits = min(16, bucket_bits(docs, BUCKET_BYTES, 6))
+    texts = staged(text_blocks(docs.withColumn("crc", F.crc32("text"))))
+    marks = staged(shared_keys(texts, bits, window))
     released(spark)
 
-    def emit(batches):
-        held, size = [], 0
-
-        def flush():
+    def emit(block: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        cols = ([], [], [], [])
+        for name, payload in zip(block["block"], block["payload"], strict=True):
+            held = list(hot_fragments(payload, found, bits, window))
+            if not held:
+                continue
             key, h, doc, crc, start, lens = (np.concatenate([x[k] for x in held]) for k in range(6))
             data = np.concatenate([x[6] for x in held])
             begin = np.concatenate([[0], np.cumsum(lens)[:-1]])
-            name = uuid.uuid4().int >> 65
             bucket = (key >> U64(64 - bits)).astype(np.int64)
             order = np.lexsort((doc, h, bucket))
             b, hh, dd = bucket[order], h[order], doc[order]
@@ -299,7 +374,6 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             first = np.flatnonzero(new)
             low, high = dd[first], np.maximum.reduceat(dd, first)
             number = np.cumsum(new) - 1
-            cols = ([], [], [], [])
             cut = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1], [True]]))
             for x, y in zip(cut[:-1], cut[1:], strict=True):
                 f = first[number[x] : number[y - 1] + 1]
@@ -310,34 +384,8 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 cols[1].append(int(b[x]))
                 cols[2].append(_packed(lens[at].astype(np.uint8), low[number[f]], high[number[f]] - low[number[f]], text))
                 cols[3].append(_packed((number[x:y] - number[x]).astype(np.int32), doc[o], crc[o], start[o].astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), binaries(cols[2]), binaries(cols[3])], names=["block", "bucket", "frags", "places"])
-
-        for t in gathered(batches, BATCH_BYTES, "text"):
-            buf, offs = text_buffers(t.column("text"))
-            size += len(buf)
-            key, text, a, m, place = occurrences(buf, offs, window)
-            lk, rk, left, right = side_keys(buf, offs, text, place, window)
-            left, right = left & _marked(marks.value, lk), right & _marked(marks.value, rk)
-            # With one side shared, only the windows that reach as far on that side.
-            end = np.where(right, a + m, np.minimum(a + m, place - side + 1))
-            a = np.where(left, a, np.maximum(a, place - side))
-            m = end - a
-            hot = (left | right) & (m > 0)
-            key, text, a, m = key[hot], text[hot], a[hot], m[hot]
-            if len(key):
-                lens = m + window - 1
-                where = np.repeat(a - np.concatenate([[0], np.cumsum(lens)[:-1]]), lens) + np.arange(lens.sum())
-                data = buf[where]
-                h = _fragment_hash(data, lens)
-                ids = t.column("doc_id").to_numpy()
-                crcs = t.column("crc").to_numpy()
-                held.append((key, h, ids[text], crcs[text], a - offs[text], lens, data))
-            if size >= BLOCK_BYTES:
-                if held:
-                    yield from flush()
-                held, size = [], 0
-        if held:
-            yield from flush()
+        let_go()
+        return pd.DataFrame({"block": pd.Series(cols[0], dtype="int64"), "bucket": pd.Series(cols[1], dtype="int32"), "frags": cols[2], "places": cols[3]})
 
     def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = [_unpacked(x, "u1", "<i8", "<i8", "u1") for x in pdf["frags"]]
@@ -370,7 +418,9 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             i += k
         return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "runs": out})
 
-    blocks = staged(in_batches(docs.withColumn("crc", F.crc32("text")), emit, "block long, bucket int, frags binary, places binary"))
+    blocks = staged(texts.groupBy("block").cogroup(marks.groupBy("block")).applyInPandas(emit, "block long, bucket int, frags binary, places binary"))
+    dropped(texts, marks)
+    released(spark)
     runs = staged(blocks.select("block", "bucket", "frags").groupBy("bucket").applyInPandas(resolve, "block long, bucket int, runs binary"))
     released(spark)
     both = blocks.select("block", "bucket", "places").join(runs, ["block", "bucket"])
@@ -411,6 +461,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     dealt = both.mapInPandas(spread, "part int, spans binary")
     found = staged(dealt.groupBy("part").applyInPandas(collect, "doc_id long, crc long, spans binary"))
+    dropped(blocks, runs)
     released(spark)
     return found
 

@@ -64,6 +64,38 @@ def test_pieces_of_a_long_text(monkeypatch):
     assert sorted(windows(whole)) == sorted(windows(cut))
 
 
+def test_only_what_two_documents_share_is_dealt(spark, monkeypatch):
+    r = random.Random(5)
+    text = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    shared = text(120)
+    docs = [(i, text(700) + (shared if i in (3, 31) else "") + text(300)) for i in range(40)]
+    monkeypatch.setattr(suffixes, "BLOCK_BYTES", 9_000)
+    made, cut = [], suffixes.staged
+    monkeypatch.setattr(suffixes, "staged", lambda df, *by: made.append(cut(df, *by)) or made[-1])
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    blocks = suffixes.text_blocks(df.withColumn("crc", suffixes.F.crc32("text"))).toPandas()
+    rows = spark.createDataFrame(blocks)
+    marks = suffixes.shared_keys(rows, 6).toPandas()
+    got = set()
+    for name, payload in zip(blocks["block"], blocks["payload"], strict=True):
+        for x in suffixes.hot_fragments(bytes(payload), marks[marks["block"] == name], 6, suffixes.WINDOW):
+            got |= {(int(d), int(a) + k) for d, a, n in zip(x[2], x[4], x[5], strict=True) for k in range(n - suffixes.WINDOW + 1)}
+    # All windows within the shared string, and none that reaches out of it by more than half of what is beside a k-gram.
+    room = suffixes.WINDOW - suffixes.GRAM - (suffixes.WINDOW - suffixes.GRAM) // 2
+    assert got >= {(d, 700 + k) for d in (3, 31) for k in range(120 - suffixes.WINDOW + 1)}
+    assert all(d in (3, 31) and 700 - room <= a <= 820 - suffixes.WINDOW + room for d, a in got)
+    found = suffixes.repeats(df)
+    assert [r["doc_id"] for r in found.collect()] == [31]
+    # What was dealt goes as soon as the spans are there.
+    assert [x for x in made if getattr(x, "cut_at", None) in suffixes_there()] == made[-1:]
+
+
+def suffixes_there():
+    from probata.operators import staging
+
+    return staging._there
+
+
 def test_suffix_dedup_of_nothing(spark):
     assert suffixes.deduplicated(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
