@@ -8,8 +8,8 @@ refinement, has done better on the last bytes. All that the first steps depend o
 its last ORDERS[-1] bytes, a run; so they work on distinct runs, each of them once: 1. blocks of documents send their distinct runs,
 with the occurrences in training texts, to buckets by a hash of the nearest HOME bytes; 2. a bucket has every run of its contexts, so
 its counters are exact, as many as there are contexts, and need no table that collides; orders below HOME come from one table of all
-contexts of two bytes; 3. weights are learned online in a bounded sample of buckets, each run predicted without its own
-occurrence, and averaged, and the map is counted there; 4. all buckets send the two predictions of each run back to the blocks, which put
+contexts of two bytes; 3. each bucket learns weights online over all its runs, each predicted without its own
+occurrence, and counts the map; weights are averaged and counts added up; 4. all buckets send the two predictions of each run back to the blocks, which put
 the texts together. Word counts for the base score travel the same way.
 """
 
@@ -40,8 +40,8 @@ BLOCK_BYTES = 16 << 20
 MERGED = 4
 #: Text for which there is one bucket at least.
 BUCKET_BYTES = 512 << 20
-#: Runs that weights and map are learned from at most, and the steps of it.
-LEARN_RUNS, LEARN_BATCH, RATE = 1 << 21, 2048, 0.02
+#: Runs of a step of learning, and how far it goes.
+LEARN_BATCH, RATE = 2048, 0.02
 #: Runs that are predicted together.
 TOGETHER = 1 << 14
 GATES = 3 * len(ORDERS) + 1
@@ -360,32 +360,35 @@ def merged(pdf: pd.DataFrame):
     return code, count, np.split(place, np.cumsum([len(p[0]) for p in parts])[:-1])
 
 
-def trained(runs: DataFrame, low, bits: int, most: int = LEARN_RUNS) -> Mixer:
-    """The mixer that a sample of whole buckets of runs (bucket, entries, payload) teaches, of about so many runs in all."""
-    entries = runs.agg(F.sum("entries").alias("n")).first()["n"] or 0
-    sample = max(1, int((1 << bits) * min(1.0, most / max(1, entries))))
+def trained(runs: DataFrame, low) -> Mixer:
+    """The mixer that all runs (bucket, payload) teach: the weights of each bucket, averaged by how many bits they saw, and the map's counts of all buckets."""
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         code, count, _ = merged(pdf)
         counters = Counters(code, count, low.value)
         rows = np.flatnonzero(count > 0)
         # A fixed order that mixes contexts, as the weights are learned along it.
-        rows = rows[np.argsort(mix(code[rows]))][:most]
+        rows = rows[np.argsort(mix(code[rows]))]
         w, seen = Mixer().learn(counters, count, rows)
-        return pd.DataFrame({"seen": [seen.tobytes()], "w": [w.astype(np.float64).tobytes()], "cells": [_packed(Mixer().tally(counters, count, rows, w))]})
-
-    found = runs.filter(F.col("bucket") < sample).select("bucket", "payload").groupBy("bucket").applyInPandas(learn, "seen binary, w binary, cells binary")
-    mixer, weight = Mixer(), np.zeros(GATES)
-    total, refine = np.zeros(mixer.weights.shape), np.zeros_like(mixer.refine)
-    # Each row is of a fixed size, and there are as many as buckets in the sample.
-    for r in found.orderBy(F.xxhash64("w")).toLocalIterator():
-        seen = np.frombuffer(bytes(r["seen"]))
-        total += np.frombuffer(bytes(r["w"])).reshape(total.shape) * seen[:, None]
-        weight += seen
-        refine += _unpacked(bytes(r["cells"]), "<f8")[0].reshape(refine.shape)
-    learnt = weight > 0
-    mixer.weights[learnt] = (total[learnt] / weight[learnt, None]).astype(np.float32)
-    return Mixer(mixer.weights, refine)
+        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "seen": [seen.tobytes()], "w": [(w * seen[:, None]).tobytes()], "cells": [_packed(Mixer().tally(counters, count, rows, w))]})
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["w", "seen"])  # a fixed order of the sums
+        seen, w = (sum(np.frombuffer(x) for x in pdf[c]) for c in ("seen", "w"))
+        return pd.DataFrame({"seen": [seen.tobytes()], "w": [w.tobytes()], "cells": [_packed(sum(_unpacked(x, "<f8")[0] for x in pdf["cells"]))]})
+
+    found = runs.select("bucket", "payload").groupBy("bucket").applyInPandas(learn, "bucket int, seen binary, w binary, cells binary")
+    # Each row is of a fixed size, and there are as many as buckets: added up in two steps.
+    m = max(1, round(shuffle_partitions(runs.sparkSession) ** 0.5))
+    some = found.groupBy(F.pmod("bucket", F.lit(m)).alias("part")).applyInPandas(lambda p: add(p[["seen", "w", "cells"]]), "seen binary, w binary, cells binary").collect()
+    mixer = Mixer()
+    if not some:
+        return mixer
+    whole = add(pd.DataFrame({c: [bytes(r[c]) for r in some] for c in ("seen", "w", "cells")})).iloc[0]
+    seen, w = np.frombuffer(whole["seen"]), np.frombuffer(whole["w"]).reshape(mixer.weights.shape)
+    learnt = seen > 0
+    mixer.weights[learnt] = (w[learnt] / seen[learnt, None]).astype(np.float32)
+    return Mixer(mixer.weights, _unpacked(whole["cells"], "<f8")[0].reshape(mixer.refine.shape))
 
 
 def run_scores(runs: DataFrame, low, model) -> DataFrame:
@@ -477,8 +480,8 @@ def scored(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFrame:
 
     Learns from the rows whose crc32(doc_id) mod folds is not held. A null text is empty: its only
     token, and its only symbol, is the end. A row without doc_id is scored, teaches nothing and is not held out. Rows stay one
-    to one, repeated ones too; other columns are not read. With nothing to learn from, each bit has an even chance. Counters cover all texts that
-    teach; weights and map are learned from LEARN_RUNS distinct runs at most.
+    to one, repeated ones too; other columns are not read. With nothing to learn from, each bit has an even chance. Counters, weights and map are learned from all texts
+    that teach.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -491,7 +494,7 @@ def scored(docs: DataFrame, folds: int = 10, held: int = 0) -> DataFrame:
     v, n = (s["v"] or 0) + (ends > 0), (s["n"] or 0) + ends
     low = spark.sparkContext.broadcast(short_contexts(counts))
     runs = counts.filter(F.col("kind") == GRAM)
-    model = spark.sparkContext.broadcast(trained(runs, low, bits))
+    model = spark.sparkContext.broadcast(trained(runs, low))
     released(spark)
     scores = run_scores(runs, low, model)
     texts = counts.filter(F.col("kind") == TEXT).select("block", "payload")

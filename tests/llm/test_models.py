@@ -179,6 +179,17 @@ def test_whole_scores_equal_those_of_the_model(spark, documents, monkeypatch):
     assert np.allclose([got[r["doc_id"]] for r in rows], want, rtol=1e-4, atol=2e-3)
 
 
+def test_weights_and_map_are_learned_from_every_run(spark, monkeypatch):
+    """More distinct runs than 2**21: the map has counted each bit of each text that teaches."""
+    kept = []
+    learnt = mixlm.trained
+    monkeypatch.setattr(mixlm, "trained", lambda *a: kept.append(learnt(*a)) or kept[-1])
+    texts = [bytes(x).decode() for x in np.random.default_rng(7).integers(0x30, 0x7B, (8, 300_000)).astype(np.uint8)]
+    teach = [i for i in range(99) if zlib.crc32(str(i).encode()) % 10 != 0][:8]
+    assert mixlm.scored(spark.createDataFrame(list(zip(teach, texts, strict=True)), "doc_id long, text string")).count() == 8
+    assert kept[0].refine[0].sum() == 8 * 8 * 300_001
+
+
 def test_probabilities_add_up():
     """The 256 next bytes of a context have a total probability of 1, by the sum, by the map, and mixed."""
     r = np.random.default_rng(0)
