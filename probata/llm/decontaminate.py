@@ -30,8 +30,8 @@ STARTS = 3
 #: Items are sent to the executors in blocks of this many bytes of text; each block is a pass over the documents.
 ITEM_BYTES = 8 << 20
 BATCH_BYTES = 1 << 20
-#: Cells of edit tables worked on together.
-CELLS = 1 << 22
+#: Cells of edit tables worked on together, which stay in the cache, and rows after which candidates beyond the allowed edits leave.
+CELLS, ROWS = 1 << 18, 3
 SEED = 20
 
 _KEPT = np.ones(256, bool)
@@ -184,17 +184,34 @@ class Index:
         text = np.zeros((len(item), longest), U64)
         for row, k in enumerate(item):
             text[row, : size[row]] = self.words[k]
-        # Row by row over the item: least edits of its first words to a stretch that ends at each column.
-        d = np.zeros((len(item), width + 1), np.int32)
-        at = np.arange(width + 1, dtype=np.int32)
+        # Row by row over the item: least edits of its first words to a stretch that ends at each column. The least of a row never falls
+        # from row to row, so a candidate leaves once it is beyond the allowed edits. What is within them is exact: no more words are put in.
+        allowed = size * PERCENT_EDITS // 100
+        most = int(allowed.max())
+        kind = np.uint8 if longest + 2 * most + 4 < 1 << 8 else np.uint16 if longest + 2 * most + 4 < 1 << 16 else np.int32
+        d = np.zeros((len(item), width + 1), kind)
+        one = kind(1)
         best = np.full(len(item), 1 << 30)
+        alive = np.arange(len(item))
         for r in range(1, longest + 1):
-            new = d + 1
-            new[:, 1:] = np.minimum(new[:, 1:], d[:, :-1] + (doc != text[:, r - 1 : r]))
-            d = np.minimum.accumulate(new - at, axis=1) + at
+            new = d + one
+            np.minimum(new[:, 1:], d[:, :-1] + (doc != text[:, r - 1 : r]), out=new[:, 1:])
+            step = 1
+            while True:  # words of the document put in: 1, then 2, 4 and so on
+                np.minimum(new[:, step:], new[:, :-step] + kind(step), out=new[:, step:])
+                step *= 2
+                if step > max(1, most) or step > width:
+                    break
+            d = new
             done = size == r
             if done.any():
-                best[done] = d[done].min(axis=1)
+                best[alive[done]] = d[done].min(axis=1)
+            if r % ROWS == 0 or done.any():
+                on = ~done & (d.min(axis=1) <= allowed)
+                if 4 * np.count_nonzero(on) < 3 * len(on):
+                    alive, size, allowed, doc, text, d = (x[on] for x in (alive, size, allowed, doc, text, d))
+                    if not len(alive):
+                        break
         return best
 
 

@@ -221,3 +221,46 @@ def test_recall_does_not_fall_with_length():
         index = decontaminate.Index(list(range(40)), [" ".join(w) for w in items])
         own, item, edits, _ = decontaminate.leaks_in(index, *text_buffers(pa.array(docs, pa.large_string())))
         assert (own == item).sum() >= 0.93 * 40 and (edits <= n // 5).all()
+
+
+def test_edits_within_the_allowed_ones_are_exact_and_others_leave_early():
+    r = np.random.default_rng(11)
+    sizes = [*range(1, 40), 64, 65, 130, 300]
+    items = [[f"w{r.integers(60)}" for _ in range(n)] for n in sizes]
+    docs = []
+    for i, w in enumerate(items):
+        w = list(w)
+        for _ in range(r.integers(0, len(w) * 30 // 100 + 2)):
+            at, kind = int(r.integers(len(w) + 1)), r.integers(3)
+            w[at : at + (kind > 0)] = [f"w{r.integers(60)}"] if kind < 2 else []
+        docs.append([f"w{r.integers(60)}" for _ in range(i % 7)] + w + ["z"] * (i % 3))
+    index = decontaminate.Index(list(range(len(items))), [" ".join(w) for w in items])
+    word, text = decontaminate.plain_words(*text_buffers(pa.array([" ".join(w) for w in docs], pa.large_string())))
+    w, begin = decontaminate.marked(word, text, len(docs))
+    own = np.arange(len(docs))
+    place = begin[:-1] + own % 7
+    good, edits = index.verified(w, begin[:-1], begin[1:] - 1, place, own)
+    for i, (item, doc) in enumerate(zip(items, docs, strict=True)):
+        allowed = len(item) * decontaminate.PERCENT_EDITS // 100
+        a = max(0, i % 7 - 2 * allowed)
+        row = [0] * (len(doc[a : i % 7 + len(item) + 2 * allowed]) + 1)
+        for x in item:
+            new = [row[0] + 1]
+            for j, y in enumerate(doc[a : i % 7 + len(item) + 2 * allowed]):
+                new.append(min(row[j + 1] + 1, row[j] + (x != y), new[j] + 1))
+            row = new
+        assert good[i] == (min(row) <= allowed) and (not good[i] or edits[i] == min(row)), i
+    assert 5 < good.sum() < len(good)
+
+    def seconds(item, place):
+        took = []
+        for _ in range(3):
+            t = time.perf_counter()
+            index.verified(w, np.zeros(len(item), np.int64), np.full(len(item), len(w)), place, item)
+            took.append(time.perf_counter() - t)
+        return min(took)
+
+    n, one = 4000, sizes.index(64)
+    item = np.full(n, one)
+    w = np.concatenate([index.words[one], np.arange(1, 5000, dtype=np.uint64)])
+    assert seconds(item, np.full(n, 200)) < 0.6 * seconds(item, np.zeros(n, np.int64))
