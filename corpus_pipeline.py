@@ -1,4 +1,4 @@
-"""A corpus, cleaned in five stages; each reads what its predecessor wrote."""
+"""A corpus, cleaned in five stages; each reads what its predecessor wrote, and begins with heaps that hold nothing of it."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probata.llm import decontaminate, jaccard, langid, linededup, pieces
-from probata.llm.common import staged, table
+from probata.llm.common import collected, staged, table
 from probata.llm.queries import piece_model
 
 #: As many ids of dropped documents are sent to all executors at most; beyond that, they are joined by a shuffle.
@@ -29,6 +29,7 @@ def _aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: those without text or without any letter go; a missing lang is filled in."""
+    collected(spark)
     train = docs.filter(langid.remainder() != 1).select("text", "lang")
     rows, back = _aside(docs, "lang_pred", "score")
     out = langid.identified(rows, train).filter(F.col("lang_pred") != langid.UNKNOWN)
@@ -38,6 +39,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines; one that loses lines and has no word left goes."""
+    collected(spark)
     rows, back = _aside(docs, "n_lines", "n_removed")
     out = linededup.deduplicated(rows)
     left = (F.col("n_removed") == 0) | F.col("text").rlike(r"\S")
@@ -47,6 +49,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of the smallest doc_id; rows without doc_id stay."""
+    collected(spark)
     gone = staged(jaccard.near_duplicates(docs).filter("component_id <> doc_id").select("doc_id").distinct())
     few = gone.count() <= MOST_SENT
     return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
@@ -54,11 +57,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    collected(spark)
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document the number and the digest of its pieces, and the digest of what they decode to."""
+    collected(spark)
     return pieces.encoded(docs, piece_model())
 
 

@@ -28,6 +28,13 @@ def released(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def collected(spark: SparkSession) -> None:
+    """Has the collectors of all executors run, which gives what is free in their heaps back to the machine; else a heap stays as large as a stage before had it."""
+    n = spark.sparkContext.defaultParallelism
+    # A task for each core, so that each executor has some; of calls at the same time in one executor, the collector runs one.
+    spark.range(0, n, 1, n).selectExpr("java_method('java.lang.System', 'gc')").collect()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from probata.operators.graph import connected_components
 
-from .common import binaries, bucket_bits, dropped, gathered, in_batches, released, shuffle_partitions, staged, text_buffers
+from .common import binaries, bucket_bits, collected, dropped, gathered, in_batches, released, shuffle_partitions, staged, text_buffers
 from .suffixes import _bucket_rows, _packed, _unpacked
 from .textops import LOWER, U64, mix, run_hash, shingles, words
 
@@ -499,6 +499,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     entries = list_entries(rows.filter("doc_id is not null"), level, light, bits)
     met = staged(entries.groupBy("bucket").applyInPandas(_met(light), "kind long, a long, b long, keys binary"))
     released(spark)
+    collected(spark)
     sure = met.filter(F.col("kind") == SUBSET).select("a", "b")
     pairs = staged(met.filter(F.col("kind") == LIST).select("a", "b").distinct())
     reps_of = reps.select("key", "doc_id")
@@ -524,6 +525,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     entry = staged(entry.join(own, "key", "left").select("list", "key", "n", F.coalesce("root", "key").alias("root")))
     dropped(met, roots)
     released(spark)
+    collected(spark)
     mixed = entry.groupBy("list").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("c"), F.sum(F.greatest(F.lit(BINS), 2 * F.col("n") / OF_BIN)).alias("size"))
     mixed = mixed.filter("lo <> hi").select("list", F.ceil(F.greatest(F.col("c") / CHUNK, F.col("size") / CHUNK_BYTES)).alias("chunks"))
     # Each chunk of a list meets each, in a row of its own.

@@ -65,3 +65,18 @@ def test_entry_has_all_queries():
     names = {n.split("_")[0] for n in entry.queries()}
     assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} <= names
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_stages_begin_with_a_collection(spark, tmp_path):
+    def full():
+        beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(b.getCollectionCount() for b in beans if b.getName() in ("G1 Old Generation", "PS MarkSweep", "MarkSweepCompact"))
+
+    df = spark.createDataFrame([(1, "some words of a text", "en", "s", 20)], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, "an item that nothing holds")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    # The others also ask for a collection of the driver, which is the executor here.
+    for name, stage in cp.STAGES:
+        if name in ("language_id", "decontamination", "encoding"):
+            before = full()
+            stage(spark, df, str(tmp_path))
+            assert full() > before, name
